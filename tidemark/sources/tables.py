@@ -1,0 +1,142 @@
+"""Append-only Parquet tables whose writes become visible together.
+
+One *commit* writes any number of tables into folders of its own and then a small marker file. Readers only
+look at folders with a marker, so several tables change atomically, an interrupted write leaves no trace, and a
+commit repeated under the same id does nothing. Folders live wherever the root points (a shared file system on
+a cluster).
+"""
+
+from __future__ import annotations
+
+import json
+import re
+from collections.abc import Mapping
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, SparkSession
+
+_ID = re.compile(r"^[A-Za-z0-9_-]+$")
+
+
+class Commit(NamedTuple):
+    order: int
+    id: str
+    tables: tuple[str, ...]
+    reset: tuple[str, ...]
+    facts: dict
+
+
+class CommittedTables:
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, str]):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schemas = dict(schemas)
+        self._known: dict[str, Commit] = {}  # markers never change, so each is read once
+
+    # --- small files through the Hadoop file system, so that any storage works -------------------------
+    def _fs(self, path: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        target = hadoop.Path(path)
+        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
+
+    def _marker_names(self) -> list[str]:
+        fs, folder = self._fs(f"{self.root}/_commits")
+        if not fs.exists(folder):
+            return []
+        return sorted(status.getPath().getName() for status in fs.listStatus(folder))
+
+    def _read_marker(self, name: str) -> Commit:
+        if name not in self._known:
+            self._known[name] = self._load_marker(name)
+        return self._known[name]
+
+    def _load_marker(self, name: str) -> Commit:
+        fs, path = self._fs(f"{self.root}/_commits/{name}")
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        body = json.loads(text)
+        order, commit_id = name.split(".", 1)
+        return Commit(int(order), commit_id, tuple(body["tables"]), tuple(body["reset"]), body["facts"])
+
+    def _write_marker(self, name: str, body: dict) -> None:
+        # Written aside and renamed: a marker is either absent or complete.
+        fs, draft = self._fs(f"{self.root}/_drafts/{name}")
+        stream = fs.create(draft, True)
+        try:
+            stream.write(bytearray(json.dumps(body), "utf-8"))
+        finally:
+            stream.close()
+        _, final = self._fs(f"{self.root}/_commits/{name}")
+        fs.mkdirs(final.getParent())
+        if not fs.rename(draft, final):
+            raise RuntimeError(f"commit {name} could not be published")
+
+    # --- reading -----------------------------------------------------------------------------------------
+    def commits(self) -> list[Commit]:
+        """All commits in order: one small record per batch or run, never per row."""
+        return [self._read_marker(name) for name in self._marker_names()]
+
+    def committed(self, commit_id: str) -> bool:
+        return any(name.split(".", 1)[1] == commit_id for name in self._marker_names())
+
+    def last_fact(self, name: str, default=None):
+        """Newest value of a fact that commits carry along."""
+        for marker in reversed(self._marker_names()):
+            facts = self._read_marker(marker).facts
+            if name in facts:
+                return facts[name]
+        return default
+
+    def exists(self, table: str) -> bool:
+        return any(table in commit.tables for commit in self.commits())
+
+    def read(self, table: str, after_order: int = 0) -> DataFrame:
+        """The committed rows of a table (those since its last reset), with the declared schema."""
+        paths: list[str] = []
+        for commit in self.commits():
+            if table in commit.reset:
+                paths = []
+            if table in commit.tables and commit.order > after_order:
+                paths.append(f"{self.root}/{table}/commit={commit.id}")
+        schema = self.schemas[table]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        names = self.spark.createDataFrame([], schema).columns
+        # Reading below the commit folders: partition columns come from deeper folders only.
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*paths).select(*names)
+
+    # --- writing -----------------------------------------------------------------------------------------
+    def commit(
+        self,
+        commit_id: str,
+        frames: Mapping[str, DataFrame],
+        facts: Mapping | None = None,
+        reset: tuple[str, ...] = (),
+        partition_by: Mapping[str, str] | None = None,
+    ) -> bool:
+        """Write ``frames`` and publish them together; False if this id was published before."""
+        if not _ID.match(commit_id):
+            raise ValueError("a commit id consists of letters, digits, '_' and '-'")
+        if self.committed(commit_id):
+            return False
+        for table, frame in frames.items():
+            writer = frame.write.mode("overwrite")
+            if partition_by and table in partition_by:
+                writer = writer.partitionBy(partition_by[table])
+            writer.parquet(f"{self.root}/{table}/commit={commit_id}")
+        names = self._marker_names()
+        order = int(names[-1].split(".", 1)[0]) + 1 if names else 1
+        body = {"tables": sorted(frames), "reset": sorted(reset), "facts": dict(facts or {})}
+        self._write_marker(f"{order:012d}.{commit_id}", body)
+        return True
+
+    def create(self) -> None:
+        """Make every declared table exist (empty)."""
+        missing = [table for table in self.schemas if not self.exists(table)]
+        if missing:
+            order = len(self._marker_names())
+            frames = {table: self.spark.createDataFrame([], self.schemas[table]) for table in missing}
+            self.commit(f"create-{order}", frames)
