@@ -13,6 +13,9 @@ Both tiers stay inside the JVM; no Python runs per row.
 
 from __future__ import annotations
 
+from functools import cache
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -322,75 +325,77 @@ def _identity_ok(envelope: Column) -> Column:
 # --- Public operators --------------------------------------------------------------------------------------
 
 
-def validate(wire: DataFrame) -> DataFrame:
-    """Add ``envelope``, ``content_hash``, ``reason_code`` and ``details`` to delivered messages.
+class _Rules(NamedTuple):
+    """The contract as columns over the steps of ``validate``, in the order of the steps."""
 
-    ``envelope`` is NULL unless the message met the whole contract; ``reason_code`` is NULL for a valid
-    message whose key equals its entity key. ``details`` names locations and rule types, never input values.
-    """
-    columns = wire.columns
+    steps: tuple[tuple[str, Column], ...]
+    results: tuple[tuple[str, Column], ...]
+
+
+@cache
+def _rules(application_id: str) -> _Rules:
+    """Built once per application: the rules do not depend on the data they are applied to."""
     body = F.col("value").cast("string")
     nothing = F.array().cast(DETAILS)
-
-    first = (
-        wire.withColumn("_fast", F.when(body.rlike(_CANONICAL), F.from_json(body, _CANONICAL_SCHEMA)))
-        .withColumn("_canonical", _canonical_envelope(F.col("_fast")))
-        .withColumn("_ok", F.coalesce(_canonical_ok(F.col("_fast"), F.col("_canonical")), F.lit(False)))
-    )
     # The document is wrapped together with its own digest: text after the end of the document, a second
     # document or an early bracket all change what stands in second place.
     text = F.try_validate_utf8(F.col("value").cast("string"))
     seal = F.sha2(F.col("value"), 256)
     wrapped = F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]'))
-    second = (
-        first.withColumn("_wrapped", F.when(~F.col("_ok"), F.try_parse_json(wrapped)))
-        .withColumn(
-            "_document",
-            F.when(
-                (F.size(F.try_variant_get("_wrapped", "$", "array<variant>")) == 2)
-                & (F.try_variant_get("_wrapped", "$[1]", "string") == seal),
-                F.col("_wrapped"),
-            ),
-        )
-        .withColumn("_tokens", F.when(F.col("_document").isNotNull(), _tokens("_document")))
-        .withColumn("_errors", F.when(F.col("_tokens").isNotNull(), _field_errors(F.col("_tokens"))))
-        .withColumn(
-            "_spelled",
-            F.when(F.size("_errors") == 0, _spelled_envelope(F.col("_tokens"))),
-        )
-        .withColumn("_related", F.coalesce(_identity_ok(F.col("_spelled")), F.lit(False)))
+    sealed = (F.size(F.try_variant_get("_wrapped", "$", "array<variant>")) == 2) & (
+        F.try_variant_get("_wrapped", "$[1]", "string") == seal
+    )
+    steps = (
+        ("_fast", F.when(body.rlike(_CANONICAL), F.from_json(body, _CANONICAL_SCHEMA))),
+        ("_canonical", _canonical_envelope(F.col("_fast"))),
+        ("_ok", F.coalesce(_canonical_ok(F.col("_fast"), F.col("_canonical")), F.lit(False))),
+        ("_wrapped", F.when(~F.col("_ok"), F.try_parse_json(wrapped))),
+        ("_document", F.when(sealed, F.col("_wrapped"))),
+        ("_tokens", F.when(F.col("_document").isNotNull(), _tokens("_document"))),
+        ("_errors", F.when(F.col("_tokens").isNotNull(), _field_errors(F.col("_tokens")))),
+        ("_spelled", F.when(F.size("_errors") == 0, _spelled_envelope(F.col("_tokens")))),
+        ("_related", F.coalesce(_identity_ok(F.col("_spelled")), F.lit(False))),
+        ("envelope", F.when(F.col("_ok"), F.col("_canonical")).when(F.col("_related"), F.col("_spelled"))),
     )
-    envelope = F.when(F.col("_ok"), F.col("_canonical")).when(F.col("_related"), F.col("_spelled"))
-    third = second.withColumn("envelope", envelope)
+    valid = F.col("envelope").isNotNull()
     in_payload = F.exists("_errors", lambda error: F.element_at(error["loc"], 1) == "payload")
+    right_key = F.col("key").eqNullSafe(key_bytes(F.col("envelope.entity_key")))
     reason = (
         F.when(F.col("value").isNull(), UNSUPPORTED_TOMBSTONE)
-        .when(
-            F.col("envelope").isNotNull(),
-            F.when(
-                F.col("key").eqNullSafe(key_bytes(F.col("envelope.entity_key"))), F.lit(None).cast("string")
-            ).otherwise(PARTITION_KEY_MISMATCH),
-        )
+        .when(valid, F.when(~right_key, PARTITION_KEY_MISMATCH))
         .when(F.col("_document").isNull(), INVALID_JSON)
         .when(in_payload, BUSINESS_QUALITY_VIOLATION)
         .otherwise(INVALID_ENVELOPE)
     )
     details = (
-        F.when(F.col("value").isNull() | F.col("envelope").isNotNull(), nothing)
+        F.when(F.col("value").isNull() | valid, nothing)
         .when(F.col("_document").isNull(), F.array(_error((), "json_invalid")).cast(DETAILS))
         .when(F.size("_errors") > 0, F.col("_errors"))
         .otherwise(F.array(_error((), "value_error")).cast(DETAILS))
     )
     results = {
         "envelope": F.col("envelope"),
-        "content_hash": F.when(F.col("envelope").isNotNull(), content_hash(F.col("envelope"))),
+        "content_hash": F.when(valid, content_hash(F.col("envelope"))),
         "reason_code": reason,
         "details": details,
     }
     # Always true, but not deterministic for Catalyst: a filter on these columns stays above this projection.
     # Pushed below, it would be rewritten into copies of the whole rule set.
     here = F.spark_partition_id() >= 0
-    return third.select(*columns, *[F.when(here, column).alias(name) for name, column in results.items()])
+    return _Rules(steps, tuple((name, F.when(here, column).alias(name)) for name, column in results.items()))
+
+
+def validate(wire: DataFrame) -> DataFrame:
+    """Add ``envelope``, ``content_hash``, ``reason_code`` and ``details`` to delivered messages.
+
+    ``envelope`` is NULL unless the message met the whole contract; ``reason_code`` is NULL for a valid
+    message whose key equals its entity key. ``details`` names locations and rule types, never input values.
+    """
+    rules = _rules(wire.sparkSession.sparkContext.applicationId)
+    rows = wire
+    for name, column in rules.steps:
+        rows = rows.withColumn(name, column)
+    return rows.select(*wire.columns, *[column for _, column in rules.results])
 
 
 def journal_errors() -> Column:
