@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,12 +74,13 @@ def json_string(text: Column) -> Column:
     return F.concat(F.lit('"'), body, F.lit('"'))
 
 
-def stable_event_id(source: Column, key: Column, version: Column) -> Column:
-    """SHA-256 of the compact JSON array ``[source, entity_key, source_version]``."""
-    identity = F.concat(
-        F.lit("["), json_string(source), F.lit(","), json_string(key), F.lit(","),
-        version.cast("string"), F.lit("]"),
-    )
+def stable_event_id(source: Column | str, key: Column, version: Column) -> Column:
+    """SHA-256 of the compact JSON array ``[source, entity_key, source_version]``.
+
+    A valid entity key needs no escaping.
+    """
+    quoted = F.lit(json.dumps(source)) if isinstance(source, str) else json_string(source)
+    identity = F.concat(F.lit("["), quoted, F.lit(',"'), key, F.lit('",'), version.cast("string"), F.lit("]"))
     return F.sha2(identity, 256)
 
 

@@ -329,7 +329,7 @@ class _Rules(NamedTuple):
     """The contract as columns over the steps of ``validate``, in the order of the steps."""
 
     steps: tuple[tuple[str, Column], ...]
-    results: tuple[tuple[str, Column], ...]
+    result: Column
 
 
 @cache
@@ -379,10 +379,10 @@ def _rules(application_id: str) -> _Rules:
         "reason_code": reason,
         "details": details,
     }
-    # Always true, but not deterministic for Catalyst: a filter on these columns stays above this projection.
-    # Pushed below, it would be rewritten into copies of the whole rule set.
-    here = F.spark_partition_id() >= 0
-    return _Rules(steps, tuple((name, F.when(here, column).alias(name)) for name, column in results.items()))
+    # Unpacked from a one-element array: a generator is where Catalyst stops moving filters and field accesses
+    # down. Below it, they would be rewritten into copies of the whole rule set.
+    row = F.struct(*[column.alias(name) for name, column in results.items()])
+    return _Rules(steps, F.inline(F.array(row)))
 
 
 def validate(wire: DataFrame) -> DataFrame:
@@ -395,7 +395,7 @@ def validate(wire: DataFrame) -> DataFrame:
     rows = wire
     for name, column in rules.steps:
         rows = rows.withColumn(name, column)
-    return rows.select(*wire.columns, *[column for _, column in rules.results])
+    return rows.select(*wire.columns, rules.result)
 
 
 def journal_errors() -> Column:

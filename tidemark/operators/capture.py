@@ -130,7 +130,7 @@ def build_events(pages: DataFrame, source: str | Column, run_id: str, captured_a
     key = entity_key(F.col("order_key"))
     batch = uuid_text(run, named, F.col("batch_sequence"))
     envelope = F.struct(
-        stable_event_id(named, key, F.col("source_version")).alias("event_id"),
+        stable_event_id(source, key, F.col("source_version")).alias("event_id"),
         F.col("event_type"),
         named.alias("source"),
         key.alias("entity_key"),

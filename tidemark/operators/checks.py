@@ -17,8 +17,8 @@ LANES = 16
 def _row_json(row: Mapping[str, Column]) -> Column:
     payload = row["payload"]
     return F.concat(
-        F.lit('{"entity_key":'), json_string(row["entity_key"]),
-        F.lit(',"last_event_id":"'), row["last_event_id"],
+        F.lit('{"entity_key":"'), row["entity_key"],
+        F.lit('","last_event_id":"'), row["last_event_id"],
         F.lit('","payload":{"customer_key":'), payload["customer_key"].cast("string"),
         F.lit(',"customer_name":'), json_string(payload["customer_name"]),
         F.lit(',"order_date":"'), date_text(payload["order_date"]),

@@ -119,13 +119,13 @@ ledger AS (
          CASE WHEN copy > 1 AND content_hash <> first_hash THEN 'rejected' WHEN copy > 1 THEN 'duplicate'
               WHEN source_version <= before_version THEN 'stale' ELSE 'accepted' END AS disposition,
          CASE WHEN copy > 1 AND content_hash <> first_hash THEN 'source_version_conflict' END AS reason_code,
-         customer_key, customer_name, order_status, order_date, total_price, source_updated_at, captured_at
+         order_key, customer_key, customer_name, order_status, order_date, total_price, source_updated_at, captured_at
   FROM decided
   UNION ALL
   SELECT delivery_id, partition_id, broker_offset,
          CASE WHEN known THEN event_id END, CASE WHEN known THEN entity_key END, CASE WHEN known THEN event_type END,
          CASE WHEN known THEN source_version END, CASE WHEN known THEN content_hash END, 'rejected', reason,
-         customer_key, customer_name, order_status, order_date, total_price,
+         order_key, customer_key, customer_name, order_status, order_date, total_price,
          CASE WHEN known THEN source_updated_at END, CASE WHEN known THEN captured_at END
   FROM (SELECT *, reason = 'partition_key_mismatch' AS known FROM {checked} WHERE reason IS NOT NULL)
 )"""
