@@ -38,7 +38,7 @@ def seconds_between(later: Column, earlier: Column) -> Column:
 
 
 # Characters that JSON text holds unchanged when everything outside ASCII is escaped.
-_PLAIN_JSON = r"^[\x20\x21\x23-\x5b\x5d-\x7f]*\z"
+_PLAIN_JSON = r"^[\x20\x21\x23-\x5b\x5d-\x7e]*\z"
 
 
 def _escape_unit(code: Column) -> Column:
@@ -56,7 +56,7 @@ def _escape_char(char: Column) -> Column:
         .when(char == "\t", F.lit("\\t"))
         .when(char == "\f", F.lit("\\f"))
         .when(char == "\b", F.lit("\\b"))
-        .when((code >= 0x20) & (code < 0x80), char)
+        .when((code >= 0x20) & (code < 0x7F), char)
         .when(code < 0x10000, _escape_unit(code))
         .otherwise(
             F.concat(

@@ -330,6 +330,7 @@ class _Rules(NamedTuple):
 
     steps: tuple[tuple[str, Column], ...]
     result: Column
+    content_hash: Column
 
 
 @cache
@@ -358,7 +359,7 @@ def _rules(application_id: str) -> _Rules:
         ("envelope", F.when(F.col("_ok"), F.col("_canonical")).when(F.col("_related"), F.col("_spelled"))),
     )
     valid = F.col("envelope").isNotNull()
-    in_payload = F.exists("_errors", lambda error: F.element_at(error["loc"], 1) == "payload")
+    in_payload = F.exists("_errors", lambda error: F.get(error["loc"], 0).eqNullSafe(F.lit("payload")))
     right_key = F.col("key").eqNullSafe(key_bytes(F.col("envelope.entity_key")))
     reason = (
         F.when(F.col("value").isNull(), UNSUPPORTED_TOMBSTONE)
@@ -375,14 +376,13 @@ def _rules(application_id: str) -> _Rules:
     )
     results = {
         "envelope": F.col("envelope"),
-        "content_hash": F.when(valid, content_hash(F.col("envelope"))),
         "reason_code": reason,
         "details": details,
     }
     # Unpacked from a one-element array: a generator is where Catalyst stops moving filters and field accesses
     # down. Below it, they would be rewritten into copies of the whole rule set.
     row = F.struct(*[column.alias(name) for name, column in results.items()])
-    return _Rules(steps, F.inline(F.array(row)))
+    return _Rules(steps, F.inline(F.array(row)), F.when(valid, content_hash(F.col("envelope"))))
 
 
 def validate(wire: DataFrame) -> DataFrame:
@@ -395,7 +395,7 @@ def validate(wire: DataFrame) -> DataFrame:
     rows = wire
     for name, column in rules.steps:
         rows = rows.withColumn(name, column)
-    return rows.select(*wire.columns, rules.result)
+    return rows.select(*wire.columns, rules.result).withColumn("content_hash", rules.content_hash)
 
 
 def journal_errors() -> Column:

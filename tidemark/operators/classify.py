@@ -242,6 +242,19 @@ def find_hot(received: Received, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     return None if hot.isEmpty() else hot
 
 
+def classify_received(
+    received: Received, processed_at: datetime | Column, registry: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Validate and decide a received batch."""
+    hot = find_hot(received, hot_rows)
+    checked = validate(received.rows)
+    if registry is not None or hot is not None:
+        # ``decide`` then reads the parsed rows twice; a checkpoint also cuts the lineage of long streams.
+        ensure_checkpoint_dir(checked.sparkSession)
+        checked = checked.checkpoint()
+    return decide(checked, processed_at, registry, hot, hot_rows)
+
+
 def classify(
     wire: DataFrame,
     processed_at: datetime | Column,
@@ -250,11 +263,4 @@ def classify(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Wire rows to ledger rows: receipt ids, validation, disposition."""
-    received = receive(wire, first_delivery_id)
-    hot = find_hot(received, hot_rows)
-    checked = validate(received.rows)
-    if registry is not None or hot is not None:
-        # ``decide`` then reads the parsed rows twice.
-        ensure_checkpoint_dir(wire.sparkSession)
-        checked = checked.checkpoint()
-    return decide(checked, processed_at, registry, hot, hot_rows)
+    return classify_received(receive(wire, first_delivery_id), processed_at, registry, hot_rows)

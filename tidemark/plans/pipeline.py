@@ -7,15 +7,13 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.validation import validate
 from tidemark.operators import capture as cap
 from tidemark.operators import checks, inspect, views
-from tidemark.operators.classify import HOT_ROWS, decide, find_hot, receive
+from tidemark.operators.classify import HOT_ROWS, classify_received, receive
 from tidemark.sources import wire as topic
 from tidemark.sources.tables import CommittedTables
 
@@ -355,29 +353,17 @@ class Pipeline:
             return False
         first_id = self.tables.last_fact("next_delivery_id", 1)
         received = receive(wire, first_id)
-        checked = validate(received.rows)
         ledger = self.ledger()
-        has_history = self.tables.exists("ledger") and not ledger.isEmpty()
-        # With history the parsed rows are used twice; keep them instead of parsing twice.
-        if has_history:
-            checked = checked.persist(StorageLevel.DISK_ONLY)
-        try:
-            rows = decide(
-                checked,
-                self.clock(),
-                registry=views.registry(ledger) if has_history else None,
-                hot=find_hot(received, hot_rows),
-                hot_rows=hot_rows,
-            )
-            return self.tables.commit(
-                commit_id,
-                {"ledger": rows},
-                facts={"next_delivery_id": received.next_delivery_id},
-                partition_by={"ledger": "disposition"},
-            )
-        finally:
-            if has_history:
-                checked.unpersist()
+        history = self.tables.exists("ledger") and not ledger.select("delivery_id").isEmpty()
+        rows = classify_received(
+            received, self.clock(), registry=views.registry(ledger) if history else None, hot_rows=hot_rows
+        )
+        return self.tables.commit(
+            commit_id,
+            {"ledger": rows},
+            facts={"next_delivery_id": received.next_delivery_id},
+            partition_by={"ledger": "disposition"},
+        )
 
     def replay(self, name: str) -> dict:
         """Deliver the whole topic again from offset 0 and prove that business state did not change."""

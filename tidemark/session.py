@@ -13,9 +13,11 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Only read when the session starts: removes checkpoint files once nothing refers to them.
+STARTUP_SETTINGS = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else created."""
@@ -34,7 +36,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for name, value in SETTINGS.items():
+    for name, value in {**SETTINGS, **STARTUP_SETTINGS}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
