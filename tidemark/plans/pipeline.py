@@ -274,7 +274,8 @@ class Pipeline:
         last_page = seen // batch_size if unsafe is not None else -(-seen // batch_size)
         captured_at = self.clock()
         built = cap.build_events(pages, source, run_id, captured_at)
-        all_batches = cap.batch_rows(built, run_id, after)
+        # One row per page, written twice below.
+        all_batches = cap.batch_rows(built, run_id, after).checkpoint()
         step = commit_pages or max(last_page, 1)
         for low in range(1, last_page + 1, step):
             wanted = F.col("batch_sequence").between(low, min(low + step - 1, last_page))

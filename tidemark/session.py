@@ -6,10 +6,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the operators rely on (first two) or that keep large plans healthy (rest).
+# Settings the operators rely on, and settings that keep large plans healthy.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The default (INT96) keeps time filters from being pushed into the files we write.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
