@@ -123,13 +123,16 @@ def plan_pages(part: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     )
 
 
-def build_events(pages: DataFrame, source: str | Column, run_id: str, captured_at: datetime) -> DataFrame:
-    """Add ``batch_id``, ``envelope`` and ``errors`` to paged journal rows."""
+def _batch_id(source: str | Column, run_id: str) -> Column:
+    named = F.lit(source) if isinstance(source, str) else source
+    return uuid_text(F.lit(run_id), named, F.col("batch_sequence"))
+
+
+def envelope(source: str | Column, run_id: str, captured_at: datetime) -> Column:
+    """The event of a paged journal row."""
     named = F.lit(source) if isinstance(source, str) else source
-    run = F.lit(run_id)
     key = entity_key(F.col("order_key"))
-    batch = uuid_text(run, named, F.col("batch_sequence"))
-    envelope = F.struct(
+    return F.struct(
         stable_event_id(source, key, F.col("source_version")).alias("event_id"),
         F.col("event_type"),
         named.alias("source"),
@@ -140,18 +143,29 @@ def build_events(pages: DataFrame, source: str | Column, run_id: str, captured_a
         F.lit(1).alias("schema_version"),
         F.col("source_version"),
         F.col("source_updated_at"),
-        batch.alias("batch_id"),
-        run.alias("sync_run_id"),
+        _batch_id(source, run_id).alias("batch_id"),
+        F.lit(run_id).alias("sync_run_id"),
         F.col("batch_sequence"),
     ).cast(ENVELOPE)
-    return (
-        pages.withColumn("errors", journal_errors())
-        .withColumn("source", named)
-        .withColumn("batch_id", batch)
-        .withColumn("envelope", F.when(F.size("errors") == 0, envelope))
+
+
+def check_rows(pages: DataFrame, source: str | Column, run_id: str) -> DataFrame:
+    """Add ``source``, ``batch_id`` and ``errors`` (empty for a valid row) to paged journal rows."""
+    return pages.withColumns(
+        {
+            "errors": journal_errors(),
+            "source": F.lit(source) if isinstance(source, str) else source,
+            "batch_id": _batch_id(source, run_id),
+        }
     )
 
 
+def build_events(pages: DataFrame, source: str | Column, run_id: str, captured_at: datetime) -> DataFrame:
+    """``check_rows`` and the ``envelope`` of each valid row."""
+    event = envelope(source, run_id, captured_at)
+    return check_rows(pages, source, run_id).withColumn("envelope", F.when(F.size("errors") == 0, event))
+
+
 def valid_events(built: DataFrame) -> DataFrame:
     return built.filter(F.size("errors") == 0)
 
@@ -205,22 +219,22 @@ def batch_rows(built: DataFrame, run_id: str, after: Cursor | None) -> DataFrame
     )
 
 
-def entity_versions(events: DataFrame) -> DataFrame:
+def entity_versions(rows: DataFrame) -> DataFrame:
     """Last version per entity on the capture side; a lower version never replaces a higher one.
 
-    ``events`` has source, entity_key, source_version, source_updated_at and event_id (or a previous result
-    with last_event_id, merged by ``unionByName``).
+    ``rows`` has source, entity_key, source_version and source_updated_at (events, or earlier results, or a
+    union of both). The event id follows from the other columns, so it is computed for the winners only.
     """
-    last = F.max(F.struct("source_version", "source_updated_at", "event_id")).alias("_last")
+    last = F.max(F.struct("source_version", "source_updated_at")).alias("_last")
     return (
-        events.groupBy("source", "entity_key")
+        rows.groupBy("source", "entity_key")
         .agg(last)
         .select(
             "source",
             "entity_key",
             F.col("_last.source_version").alias("source_version"),
             F.col("_last.source_updated_at").alias("source_updated_at"),
-            F.col("_last.event_id").alias("last_event_id"),
+            stable_event_id(F.col("source"), F.col("entity_key"), F.col("_last.source_version")).alias("last_event_id"),
         )
     )
 

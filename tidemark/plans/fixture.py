@@ -31,11 +31,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import key_bytes, wire_json
-from tidemark.operators.capture import JOURNAL_COLUMNS, build_events, valid_events
+from tidemark.operators.capture import JOURNAL_COLUMNS, check_rows, valid_events
+from tidemark.operators.capture import envelope as capture_envelope
 from tidemark.operators.classify import classify
 from tidemark.operators.writers import Written, seed_source
 from tidemark.schemas import MONEY
-from tidemark.sources.wire import TOPIC, to_wire
+from tidemark.sources.wire import TOPIC, as_wire, assign_offsets
 
 T0 = datetime(2026, 1, 1, tzinfo=timezone.utc)
 CAPTURED = T0 + timedelta(seconds=5)
@@ -103,9 +104,9 @@ def _phases() -> Column:
 
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deliveries above as a topic table."""
-    events = valid_events(
-        build_events(journal(spark, sf_dir).withColumn("batch_sequence", F.lit(1)), SOURCE, RUN, CAPTURED)
-    ).select("order_key", "source_version", "envelope")
+    paged = journal(spark, sf_dir).withColumn("batch_sequence", F.lit(1))
+    events = valid_events(check_rows(paged, SOURCE, RUN)).select(*paged.columns)
+    event = capture_envelope(SOURCE, RUN, CAPTURED)
     phase = F.col("phase")
     envelope = F.col("envelope")
     payload = (
@@ -133,20 +134,18 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.when(phase == 7, F.lit("{bad-json")).when(phase != 6, wire_json(F.col("sent")))
     key = F.when(phase == 8, F.lit("wrong")).otherwise(F.col("sent.entity_key"))
-    rows = (
-        events.withColumn("phase", F.explode(_phases()))
+    rows = events.withColumn("phase", F.explode(_phases())).withColumns(
+        {"block": F.shiftright("order_key", BLOCK_BITS), "partition": (F.col("order_key") % 3).cast("int")}
+    )
+    placed = assign_offsets(rows, TOPIC, order=("order_key",), chunk=("phase", "block"))
+    return as_wire(
+        placed.withColumn("envelope", event)
         .withColumn("sent", altered)
         .select(
-            "order_key",
-            "phase",
-            F.shiftright("order_key", BLOCK_BITS).alias("block"),
-            (F.col("order_key") % 3).cast("int").alias("partition"),
-            key_bytes(key).alias("key"),
-            key_bytes(text).alias("value"),
+            "topic", "partition", "offset", key_bytes(key).alias("key"), key_bytes(text).alias("value"),
             F.timestamp_micros(F.lit(micros(CAPTURED))).alias("timestamp"),
         )
     )
-    return to_wire(rows, TOPIC, order=("order_key",), chunk=("phase", "block"))
 
 
 def processed_at() -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.expressions import entity_key, key_bytes
 from tidemark.operators import capture as cap
 from tidemark.operators import checks, inspect, views
 from tidemark.operators.classify import HOT_ROWS, classify_received, receive
@@ -93,8 +94,7 @@ class Pipeline:
         return self.tables.read("quarantine")
 
     def entity_versions(self) -> DataFrame:
-        stored = self.tables.read("entity_versions").withColumnRenamed("last_event_id", "event_id")
-        return cap.entity_versions(stored)
+        return cap.entity_versions(self.tables.read("entity_versions"))
 
     def runs(self) -> DataFrame:
         """One row per run. A run without an end is running if it is its source's latest, else failed."""
@@ -273,14 +273,15 @@ class Pipeline:
         # The page that holds an unsafe cursor must not be committed, and none after it.
         last_page = seen // batch_size if unsafe is not None else -(-seen // batch_size)
         captured_at = self.clock()
-        built = cap.build_events(pages, source, run_id, captured_at)
+        checked = cap.check_rows(pages, source, run_id)
+        event = cap.envelope(source, run_id, captured_at)
         # One row per page, written twice below.
-        all_batches = cap.batch_rows(built, run_id, after).checkpoint()
+        all_batches = cap.batch_rows(checked, run_id, after).checkpoint()
         step = commit_pages or max(last_page, 1)
         for low in range(1, last_page + 1, step):
             wanted = F.col("batch_sequence").between(low, min(low + step - 1, last_page))
             self._commit_pages(
-                built.filter(wanted), all_batches.filter(wanted), run_id, low, captured_at, publish, partition
+                checked.filter(wanted), all_batches.filter(wanted), event, run_id, low, captured_at, publish, partition
             )
         if unsafe is not None:
             raise cap.CaptureError("the journal holds a repeated or invalid cursor; checkpoint retained")
@@ -290,8 +291,9 @@ class Pipeline:
 
     def _commit_pages(
         self,
-        built: DataFrame,
+        checked: DataFrame,
         batches: DataFrame,
+        event: Column,
         run_id: str,
         low: int,
         captured_at: datetime,
@@ -309,20 +311,16 @@ class Pipeline:
 
         columns = [part.split()[0] for part in schemas.SYNC_BATCHES.split(", ")]
         self.tables.commit(f"pages-{run_id}-{low}-open", {"page_events": pages("running", None).select(*columns)})
-        events = cap.valid_events(built)
+        valid = cap.valid_events(checked)
         if publish is None:
-            self.publish(events, captured_at, partition)
+            self.publish(valid, event, captured_at, partition)
         else:
-            publish(events)
-        versions = cap.entity_versions(
-            events.select(
-                "source", "envelope.entity_key", "source_version", "source_updated_at", "envelope.event_id"
-            )
-        )
+            publish(valid.withColumn("envelope", event))
+        versions = cap.entity_versions(valid.withColumn("entity_key", entity_key(F.col("order_key"))))
         self.tables.commit(
             f"pages-{run_id}-{low}",
             {
-                "quarantine": cap.new_quarantine(cap.quarantine(built, captured_at), self.quarantine()),
+                "quarantine": cap.new_quarantine(cap.quarantine(checked, captured_at), self.quarantine()),
                 "entity_versions": versions,
                 "page_events": pages("published", self.clock()).select(*columns),
             },
@@ -335,14 +333,16 @@ class Pipeline:
             return self.spark.createDataFrame([], schemas.WIRE)
         return topic.read_wire(self.spark, self.wire_path)
 
-    def publish(self, events: DataFrame, at: datetime, partition: Column | None = None) -> None:
-        """Append captured events (envelope, number, chunk) to the topic table."""
-        where = topic.partition_by_key(F.col("key")) if partition is None else partition
-        rows = topic.messages(events.select("envelope", "number", "chunk")).withColumns(
-            {"partition": where, "timestamp": cap.at_literal(at)}
+    def publish(self, rows: DataFrame, event: Column, at: datetime, partition: Column | None = None) -> None:
+        """Append captured rows to the topic table; ``event`` makes the envelope of a row."""
+        key = key_bytes(entity_key(F.col("order_key")))
+        where = topic.partition_by_key(key) if partition is None else partition
+        columns = [*cap.JOURNAL_COLUMNS, "batch_sequence", "number", "chunk"]
+        placed = topic.assign_offsets(
+            rows.select(*columns).withColumn("partition", where), base_offsets=topic.topic_offsets(self.wire())
         )
-        placed = topic.to_wire(rows, base_offsets=topic.topic_offsets(self.wire()))
-        placed.write.mode("append").parquet(self.wire_path)
+        sent = topic.messages(placed.withColumns({"envelope": event, "timestamp": cap.at_literal(at)}))
+        topic.as_wire(sent).write.mode("append").parquet(self.wire_path)
 
     # --- sink ------------------------------------------------------------------------------------------------
     def materialize(self, wire: DataFrame, commit_id: str, hot_rows: int = HOT_ROWS) -> bool:

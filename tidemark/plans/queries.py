@@ -236,7 +236,7 @@ def event_ids(spark: SparkSession, sf: str) -> DataFrame:
 def entity_versions(spark: SparkSession, sf: str) -> DataFrame:
     rows = fixture.journal(spark, sf).withColumn("batch_sequence", F.lit(1))
     events = cap.valid_events(cap.build_events(rows, SOURCE, RUN, fixture.CAPTURED)).select(
-        "source", "envelope.entity_key", "source_version", "source_updated_at", "envelope.event_id"
+        "source", "envelope.entity_key", "source_version", "source_updated_at"
     )
     return cap.entity_versions(events).withColumn("source_updated_at", utc_timestamp(F.col("source_updated_at")))
 
@@ -552,9 +552,7 @@ def capture_constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
     captured = _captured(spark, sf)
     batches = captured.batches.withColumn("status", F.lit("published"))
     versions = cap.entity_versions(
-        captured.events.select(
-            "source", "envelope.entity_key", "source_version", "source_updated_at", "envelope.event_id"
-        )
+        captured.events.select("source", "envelope.entity_key", "source_version", "source_updated_at")
     )
     return checks.check_constraints(
         {"sync_batches": batches, "source_entity_versions": versions, "source_quarantine": captured.quarantine}

@@ -18,42 +18,47 @@ def partition_by_key(key: Column, partitions: int = PARTITIONS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
 
 
-def messages(events: DataFrame) -> DataFrame:
-    """Envelopes to key/value bytes. ``events`` has a column ``envelope``; other columns stay."""
-    envelope = F.col("envelope")
-    return events.select(
-        *[name for name in events.columns if name != "envelope"],
-        key_bytes(envelope["entity_key"]).alias("key"),
-        key_bytes(wire_json(envelope)).alias("value"),
-    )
-
-
-def to_wire(
+def assign_offsets(
     rows: DataFrame,
     topic: str = TOPIC,
     base_offsets: DataFrame | None = None,
     order: tuple[str, ...] = ("number",),
     chunk: tuple[str, ...] = ("chunk",),
 ) -> DataFrame:
-    """Assign offsets: dense per partition, in the given order, after ``base_offsets``.
+    """Add ``topic`` and ``offset``: dense per ``partition``, in the given order, after ``base_offsets``.
 
-    ``rows`` has partition, key, value, timestamp and the ordering columns. ``base_offsets`` is the result of
-    ``topic_offsets`` for what is already on the topic.
+    ``base_offsets`` is the result of ``topic_offsets`` for what is already on the topic. Numbering shuffles the
+    rows, so do it while they are narrow: before the message text exists.
     """
     numbered = number_in_chunks(
         rows.withColumn("topic", F.lit(topic)), "offset", order=order, chunk=chunk, group=("topic", "partition")
     )
     if base_offsets is None:
-        numbered = numbered.withColumn("offset", F.col("offset") - 1)
-    else:
-        # One row per topic partition.
-        base = F.broadcast(base_offsets.select("topic", "partition", F.col("high").alias("_high")))
-        numbered = (
-            numbered.join(base, ["topic", "partition"], "left")
-            .withColumn("offset", F.col("offset") - 1 + F.coalesce("_high", F.lit(0)))
-        )
-    return numbered.select(
-        "topic", "partition", F.col("offset").cast("bigint").alias("offset"), "key", "value", "timestamp"
+        return numbered.withColumn("offset", F.col("offset") - 1)
+    # One row per topic partition.
+    base = F.broadcast(base_offsets.select("topic", "partition", F.col("high").alias("_high")))
+    return (
+        numbered.join(base, ["topic", "partition"], "left")
+        .withColumn("offset", F.col("offset") - 1 + F.coalesce("_high", F.lit(0)))
+        .drop("_high")
+    )
+
+
+def messages(events: DataFrame) -> DataFrame:
+    """Envelopes to key/value bytes. ``events`` has a column ``envelope``; other columns stay."""
+    envelope = F.col("envelope")
+    return events.select(
+        *[name for name in events.columns if name != "envelope"],
+        key_bytes(envelope["entity_key"]).alias("key"),
+        key_bytes(wire_json(envelope)).alias("value"),
+    )
+
+
+def as_wire(rows: DataFrame) -> DataFrame:
+    """The columns of the topic table, in order and type."""
+    return rows.select(
+        "topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"),
+        "key", "value", "timestamp",
     )
 
 
