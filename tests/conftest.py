@@ -15,6 +15,8 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = local_session(cores=8, shuffle_partitions=4, memory="6g")
     session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    # Show pushed filters in full when a test looks at a plan.
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
 
