@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, fingerprints, packing
 from tidemark.llm.common import table
 
 
@@ -17,10 +17,23 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 1024 tokens."""
+    spec = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), spec, public_tokenizers.PATTERN)
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint every document and its edited text."""
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op2_byte_bpe,
+        op5_best_fit_packing,
+        op6_document_fingerprints,
     )
 }
 
