@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, packing
+from tidemark.llm import bpe, fingerprints, packing, toxicity
 from tidemark.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document for toxicity."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 tokens."""
     spec = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op2_byte_bpe,
+        op3_toxicity,
         op5_best_fit_packing,
         op6_document_fingerprints,
     )
