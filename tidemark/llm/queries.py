@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, packing, suffixes, toxicity
+from tidemark.llm import bpe, fingerprints, jaccard, packing, suffixes, toxicity
 from tidemark.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group documents by links of Jaccard similarity 0.9 or more over 3-word shingles."""
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 tokens."""
     spec = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op2_byte_bpe,
         op3_toxicity,
+        op4_ngram_jaccard_join,
         op5_best_fit_packing,
         op6_document_fingerprints,
         op9_suffix_array_dedup,
