@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, fingerprints, jaccard, packing, suffixes, toxicity
+from tidemark.llm import bpe, embeddings, fingerprints, jaccard, packing, suffixes, toxicity
 from tidemark.llm.common import table
 
 
@@ -39,6 +39,11 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Link all vectors with a cosine of 0.9 or more."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove the passages of 200 bytes that occur more than once."""
     done = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_ngram_jaccard_join,
         op5_best_fit_packing,
         op6_document_fingerprints,
+        op8_embedding_near_dedup,
         op9_suffix_array_dedup,
     )
 }
