@@ -171,16 +171,21 @@ PLAIN_PATTERN = {
 
 
 class Words(dict):
-    """Packed ids of short matches; missing ones are encoded, and the number kept is bounded."""
+    """Packed ids of short matches. Missing ones are encoded; when the newer half is full, the older half is forgotten,
+    so that frequent matches stay and the number kept is bounded."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= 64:
             if len(self) >= CACHE_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
