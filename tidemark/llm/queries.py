@@ -8,10 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, fingerprints, jaccard, packing, suffixes, toxicity
+from tidemark.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, suffixes, toxicity, urls
 from tidemark.llm.common import table
 
 
+# The rules of the URL filter.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every page's URL."""
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -39,6 +54,11 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find licence notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Link all vectors with a cosine of 0.9 or more."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -60,11 +80,13 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_url_filters,
         op2_byte_bpe,
         op3_toxicity,
         op4_ngram_jaccard_join,
         op5_best_fit_packing,
         op6_document_fingerprints,
+        op7_license_scans,
         op8_embedding_near_dedup,
         op9_suffix_array_dedup,
     )
