@@ -34,7 +34,7 @@ from tidemark.llm.common import SpanHash, mixed, ship, signed, slices, text_buff
 LENGTH = 200
 WIDTH = 101  # starts of windows among which a minimiser is chosen
 KMER = 16
-LARGE = 4096
+LARGE = 65_536
 BLOCK = 1 << 20
 POSITION_BITS = 24
 
@@ -224,17 +224,31 @@ def _induce(length: int, width: int, large: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def exact(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            for start in range(0, rows.num_rows, 1024):
-                part = rows.slice(start, 1024)
+            for start in range(0, rows.num_rows, 4096):
+                part = rows.slice(start, 4096)
                 n = part.num_rows
                 spans = np.column_stack([_matrix(part, "left", width - 1), _matrix(part, "right", length)]).ravel()
                 most, least = part.column("most").to_numpy().astype(np.int64), part.column("least").to_numpy().astype(np.int64)
-                row = np.repeat(np.arange(n), most - least + 1)
-                offset = np.arange(len(row)) - np.repeat(np.cumsum(most - least + 1) - (most - least + 1), most - least + 1) + least[row]
+                each = most - least + 1
+                row = np.repeat(np.arange(n), each)
+                offset = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each) + least[row]
                 begin = row * (width - 1 + length) + width - 1 - offset
                 one, two = (signed(SpanHash(spans, which).of(begin, begin + length)) for which in (0, 1))
-                ids, checks, places = (part.column(c).to_numpy()[row] for c in ("id", "check", "place"))
-                yield _batch(np.full(len(row), WINDOW, np.int8), one, two, ids, checks, places, offset, offset)
+                ids, checks, places = (part.column(c).to_numpy() for c in ("id", "check", "place"))
+                # Windows that are equal here are repeated; one of them goes on and stands for all.
+                order = np.lexsort((two, one))
+                same = np.r_[False, (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])]
+                twice = order[same | np.r_[same[1:], False]]
+                if len(twice):
+                    far, near = np.full(n, -1), np.full(n, 1 << 14)
+                    np.maximum.at(far, row[twice], offset[twice])
+                    np.minimum.at(near, row[twice], offset[twice])
+                    hit = np.flatnonzero(far >= 0)
+                    zero = np.zeros(len(hit), np.int64)
+                    yield _batch(np.full(len(hit), MARK, np.int8), zero, zero, ids[hit], checks[hit], places[hit], far[hit], near[hit])
+                on = order[~same]
+                r = row[on]
+                yield _batch(np.full(len(on), WINDOW, np.int8), one[on], two[on], ids[r], checks[r], places[r], offset[on], offset[on])
 
         def small(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             left, right = _matrix(rows, "left", width - 1), _matrix(rows, "right", length)
@@ -267,7 +281,7 @@ def _induce(length: int, width: int, large: int):
                     yield from small(whole.slice(0, opened))
                 yield from exact(whole.slice(opened))
                 held, count, is_large = [], 0, True
-            elif count >= 4 * large and opened:
+            elif count >= min(large, 16_384) and opened:
                 whole = pa.concat_tables(held).combine_chunks()
                 yield from small(whole.slice(0, opened))
                 held, count, opened = [whole.slice(opened)], count - opened, 0
