@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, suffixes, toxicity, urls
+from tidemark.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, pii, suffixes, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -77,6 +77,11 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Find personal data and disclosing terms in every document."""
+    return pii.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_license_scans,
         op8_embedding_near_dedup,
         op9_suffix_array_dedup,
+        op10_pii,
     )
 }
 
