@@ -1,15 +1,15 @@
-"""Exact join of documents whose sets of word shingles have a Jaccard similarity of 0.9 or more.
+"""Exact join of documents whose sets of word shingles have a Jaccard similarity of a given percentage or more.
 
 The Jaccard distance is a metric. The join works on distinct sets (copies share one) in three steps:
 
 1. *Voronoi regions of rare pivots.* The pivots are the sets {s} of one shingle. A document's distance to {s} is
    1 - 1/n if it holds s, else 1, so its nearest pivots are its own shingles; ties go to the rarer shingle. (Whole
    documents are no use as pivots here: nearly all distances between documents of a corpus are 1, so that all windows
-   would hold all documents.) By the triangle inequality, a partner within the distance lacks at most m = n / 10 of a
+   would hold all documents.) By the triangle inequality, a partner within the distance e lacks at most m = n * e of a
    document's shingles, so the document is replicated into the windows of its m + 1 nearest pivots, and any two linked
    documents meet in the region of the first pivot they share. There, pairs of too different sizes or with too little
    left to share are passed over, and what remains is chained into *families*. Counting how rare a shingle is uses a
-   fixed share of the hash space; it is any total order that makes the regions exact.
+   fixed share of the hash space; any total order makes the regions exact.
 2. *Recursion inside families*, whose members are close enough for documents to be pivots: members go to the region of
    their nearest pivot and, within twice the distance, to the windows of others, until regions are small. Where windows
    hold almost everything, the region is compared as it is, in blocks.
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import SpanHash, lower_ascii, materialized, mixed, runs_of, ship, signed, slices, text_buffer, whole_text
 from tidemark.llm.components import components
 
-RARE_SHARE = 5  # one in so many shingles is counted
 MANY = 4096
 REGION = 1024
 BLOCK_SETS = 512
@@ -40,6 +39,18 @@ LEAF = 192
 PIVOTS = 4
 SLICE = 1 << 20
 
+
+
+def spare_of(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of n shingles a linked set may lack."""
+    return n * (100 - percent) // 100
+
+
+def counted_below(percent: int) -> np.uint64:
+    """Shingles with hashes below are counted: twice the share that a linked set may lack."""
+    return np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (100 - percent) // 100))
+
+
 _BREAK = np.zeros(256, bool)
 _BREAK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -104,9 +115,9 @@ def _profile(size: int):
     return run
 
 
-def _rare(size: int):
+def _rare(size: int, percent: int):
     """(shingle, set id, set size, counted shingles of the set): the counted ones, filled up to a window's length."""
-    limit = np.uint64((1 << 64) // RARE_SHARE)
+    limit = counted_below(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,7 +127,7 @@ def _rare(size: int):
                 counted = np.bincount(row[value < limit], minlength=len(count))
                 first = np.r_[0, np.cumsum(count)[:-1]]
                 # Hashes ascend in a row, so the counted ones come first and the fill-up follows.
-                taken = np.maximum(counted, count // 10 + 1)
+                taken = np.maximum(counted, spare_of(count, percent) + 1)
                 place = np.arange(len(row)) - first[row]
                 keep = (place < taken[row]) & once[row]
                 r = row[keep]
@@ -172,24 +183,28 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give(held, min(size, MANY))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(percent: int):
     """Rows sorted by (key, many, shingle): those in the window of the set's nearest pivots, with their place there."""
-    limit = np.uint64((1 << 64) // RARE_SHARE)
-    for rows in runs_of(batches, "key"):
-        key, shingle = rows.column("key").to_numpy(), rows.column("shingle").to_numpy()
-        n, counted = rows.column("n").to_numpy(), rows.column("counted").to_numpy()
-        rare = shingle.view(np.uint64) < limit
-        order = np.lexsort((~rare, key))  # stable: by number and shingle within the counted ones
-        key, shingle, n, counted, rare = key[order], shingle[order], n[order], counted[order], rare[order]
-        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        lengths = np.diff(np.r_[first, len(key)])
-        shared = np.add.reduceat(rare.astype(np.int64), first)
-        rank = np.arange(len(key)) - np.repeat(first, lengths)
-        # Shingles that no other set has come first and are not in these rows.
-        place = np.where(rare, counted - np.repeat(shared, lengths) + rank, counted)
-        keep = place <= n // 10
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (shingle, key, n, place.astype(np.int32))], ["shingle", "key", "n", "place"])
+    limit = counted_below(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs_of(batches, "key"):
+            key, shingle = rows.column("key").to_numpy(), rows.column("shingle").to_numpy()
+            n, counted = rows.column("n").to_numpy(), rows.column("counted").to_numpy()
+            rare = shingle.view(np.uint64) < limit
+            order = np.lexsort((~rare, key))  # stable: by number and shingle within the counted ones
+            key, shingle, n, counted, rare = key[order], shingle[order], n[order], counted[order], rare[order]
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            lengths = np.diff(np.r_[first, len(key)])
+            shared = np.add.reduceat(rare.astype(np.int64), first)
+            rank = np.arange(len(key)) - np.repeat(first, lengths)
+            # Shingles that no other set has come first and are not in these rows.
+            place = np.where(rare, counted - np.repeat(shared, lengths) + rank, counted)
+            keep = place <= spare_of(n, percent)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (shingle, key, n, place.astype(np.int32))], ["shingle", "key", "n", "place"])
+
+    return run
 
 
 def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,57 +226,60 @@ def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(left, np.int64), np.array(right, np.int64)
 
 
-def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _families(percent: int):
     """Rows sorted by shingle: edges that chain the sets of a region that may be linked."""
 
-    def give(a, b) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def give(a, b) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    last, hub, held, size = None, None, [], 0
+        last, hub, held, size = None, None, [], 0
 
-    def close() -> Iterator[pa.RecordBatch]:
-        if size > 1 and held:
-            key, n, place = (np.concatenate([h[c] for h in held]) for c in range(3))
-            yield from compare(key, n.astype(np.int64), place.astype(np.int64))
+        def close() -> Iterator[pa.RecordBatch]:
+            if size > 1 and held:
+                key, n, place = (np.concatenate([h[c] for h in held]) for c in range(3))
+                yield from compare(key, n.astype(np.int64), place.astype(np.int64))
 
-    def compare(key, n, place):
-        rest = n - place
-        near = np.minimum.outer(n, n) * 10 >= np.maximum.outer(n, n) * 9
-        near &= np.minimum.outer(rest, rest) * 19 >= np.add.outer(n, n) * 9
-        left, right = _forest(near)
-        if len(left):
-            yield give(key[left], key[right])
+        def compare(key, n, place):
+            rest = n - place
+            near = np.minimum.outer(n, n) * 100 >= np.maximum.outer(n, n) * percent
+            near &= np.minimum.outer(rest, rest) * (100 + percent) >= np.add.outer(n, n) * percent
+            left, right = _forest(near)
+            if len(left):
+                yield give(key[left], key[right])
 
-    for batch in batches:
-        shingle = batch.column("shingle").to_numpy()
-        if not len(shingle):
-            continue
-        key, n, place = (batch.column(c).to_numpy() for c in ("key", "n", "place"))
-        begins = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-        lengths = np.diff(np.r_[begins, len(shingle)])
-        # Regions of two that end in this batch: all at once.
-        two = begins[1:-1][lengths[1:-1] == 2]
-        if len(two):
-            x, y = n[two].astype(np.int64), n[two + 1].astype(np.int64)
-            rest = np.minimum(x - place[two], y - place[two + 1])
-            near = (np.minimum(x, y) * 10 >= np.maximum(x, y) * 9) & (rest * 19 >= (x + y) * 9)
-            if near.any():
-                yield give(key[two[near]], key[two[near] + 1])
-        others = np.flatnonzero((lengths > 2) | np.isin(np.arange(len(begins)), (0, len(begins) - 1)))
-        for a, length in zip(begins[others].tolist(), lengths[others].tolist()):
-            b = a + length
-            if shingle[a] != last:
-                yield from close()
-                last, hub, held, size = shingle[a], key[a], [], 0
-            size += length
-            if size > REGION:  # too many to compare here: chained as they are
-                for h in held:
-                    yield give(np.full(len(h[0]), hub), h[0])
-                held = []
-                yield give(np.full(length, hub), key[a:b])
-            else:
-                held.append((key[a:b], n[a:b], place[a:b]))
-    yield from close()
+        for batch in batches:
+            shingle = batch.column("shingle").to_numpy()
+            if not len(shingle):
+                continue
+            key, n, place = (batch.column(c).to_numpy() for c in ("key", "n", "place"))
+            begins = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+            lengths = np.diff(np.r_[begins, len(shingle)])
+            # Regions of two that end in this batch: all at once.
+            two = begins[1:-1][lengths[1:-1] == 2]
+            if len(two):
+                x, y = n[two].astype(np.int64), n[two + 1].astype(np.int64)
+                rest = np.minimum(x - place[two], y - place[two + 1])
+                near = (np.minimum(x, y) * 100 >= np.maximum(x, y) * percent) & (rest * (100 + percent) >= (x + y) * percent)
+                if near.any():
+                    yield give(key[two[near]], key[two[near] + 1])
+            others = np.flatnonzero((lengths > 2) | np.isin(np.arange(len(begins)), (0, len(begins) - 1)))
+            for a, length in zip(begins[others].tolist(), lengths[others].tolist()):
+                b = a + length
+                if shingle[a] != last:
+                    yield from close()
+                    last, hub, held, size = shingle[a], key[a], [], 0
+                size += length
+                if size > REGION:  # too many to compare here: chained as they are
+                    for h in held:
+                        yield give(np.full(len(h[0]), hub), h[0])
+                    held = []
+                    yield give(np.full(length, hub), key[a:b])
+                else:
+                    held.append((key[a:b], n[a:b], place[a:b]))
+        yield from close()
+
+    return run
 
 
 def _set_of(size: int):
@@ -301,66 +319,69 @@ def common_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.
     return out.astype(np.int64)
 
 
-def _close(common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """100 * intersection >= 90 * union."""
-    return common * 10 >= (np.add.outer(a, b) - common) * 9
+def _close(common: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    return common * 100 >= (np.add.outer(a, b) - common) * percent
 
 
-def links_within(sets: list[np.ndarray], members: np.ndarray, out: list[tuple[np.ndarray, np.ndarray]]) -> None:
+def links_within(sets: list[np.ndarray], members: np.ndarray, percent: int, out: list[tuple[np.ndarray, np.ndarray]], leaf: int = LEAF) -> None:
     """Spanning links among the members, by Voronoi regions of pivots and windows of twice the distance, recursively."""
     if len(members) < 2:
         return
     size = np.array([len(sets[i]) for i in members])
-    if len(members) > LEAF:
+    if len(members) > leaf:
         pivots = members[np.linspace(0, len(members) - 1, PIVOTS).astype(int)]
         common = common_counts([sets[i] for i in members], [sets[i] for i in pivots])
         union = np.add.outer(size, np.array([len(sets[i]) for i in pivots])) - common
         distance = 1 - common / union
         home = distance.argmin(axis=1)
-        window = distance <= distance.min(axis=1)[:, None] + 0.2 + 1e-9
+        window = distance <= distance.min(axis=1)[:, None] + 2 * (1 - percent / 100) + 1e-9
         window[np.arange(len(members)), home] = True
         if window.sum(axis=0).max() <= 0.8 * len(members):
             for p in range(PIVOTS):
-                links_within(sets, members[window[:, p]], out)
+                links_within(sets, members[window[:, p]], percent, out, leaf)
             return
     chosen = [sets[i] for i in members]
-    left, right = _forest(_close(common_counts(chosen, None), size, size))
+    left, right = _forest(_close(common_counts(chosen, None), size, size, percent))
     out.append((members[left], members[right]))
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(percent: int):
     """Rows sorted by tile, the sets of one block or of two: links that span all links of the tile."""
-    for rows in runs_of(batches, "tile", 256):
-        tile, block = rows.column("tile").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
-        key = rows.column("key").to_numpy()
-        members = rows.column("members").combine_chunks()
-        begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in zip(begins, np.r_[begins[1:], len(tile)]):
-            if b - a < 2:
-                continue
-            sets = [np.frombuffer(members[i].as_buffer(), np.uint64) for i in range(a, b)]
-            which = block[a:b]
-            if not which.any():
-                inside: list[tuple[np.ndarray, np.ndarray]] = []
-                links_within(sets, np.arange(b - a), inside)
-                found += [(key[a + x], key[a + y]) for x, y in inside]
-                continue
-            left, right = np.flatnonzero(~which), np.flatnonzero(which)
-            if not len(left):
-                continue
-            one, two = [sets[i] for i in left], [sets[i] for i in right]
-            near = _close(common_counts(one, two), np.array([len(s) for s in one]), np.array([len(s) for s in two]))
-            both = np.zeros((b - a, b - a), bool)
-            both[np.ix_(left, right)] = near
-            x, y = _forest(both | both.T)
-            found.append((key[a + x], key[a + y]))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[c] for f in found]), pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs_of(batches, "tile", 256):
+            tile, block = rows.column("tile").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
+            key = rows.column("key").to_numpy()
+            members = rows.column("members").combine_chunks()
+            begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            for a, b in zip(begins, np.r_[begins[1:], len(tile)]):
+                if b - a < 2:
+                    continue
+                sets = [np.frombuffer(members[i].as_buffer(), np.uint64) for i in range(a, b)]
+                which = block[a:b]
+                if not which.any():
+                    inside: list[tuple[np.ndarray, np.ndarray]] = []
+                    links_within(sets, np.arange(b - a), percent, inside)
+                    found += [(key[a + x], key[a + y]) for x, y in inside]
+                    continue
+                left, right = np.flatnonzero(~which), np.flatnonzero(which)
+                if not len(left):
+                    continue
+                one, two = [sets[i] for i in left], [sets[i] for i in right]
+                near = _close(common_counts(one, two), np.array([len(s) for s in one]), np.array([len(s) for s in two]), percent)
+                both = np.zeros((b - a, b - a), bool)
+                both[np.ix_(left, right)] = near
+                x, y = _forest(both | both.T)
+                found.append((key[a + x], key[a + y]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[c] for f in found]), pa.int64()) for c in (0, 1)], ["a", "b"])
+
+    return run
 
 
-def jaccard_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 3) -> DataFrame:
-    """Group documents by links of Jaccard similarity 0.9 or more: (id column, n_shingles, component_id).
+def jaccard_groups(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """Group documents by links, 100 * intersection >= percent * union: (id column, n_shingles, component_id).
 
     A-Z count as a-z. ``component_id`` is the smallest id that links reach. A null text is empty; documents without
     words are linked with nothing, not even with each other. Rows with a null id have a row each and take part in
@@ -372,10 +393,10 @@ def jaccard_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     bodies = documents.select(F.col(id_column).cast("long").alias("id"), lower_ascii(whole_text(text_column)).alias("body"))
     profile = materialized(bodies.mapInArrow(_profile(size), "id long, n long, key long"))
 
-    rare = bodies.select("body").mapInArrow(_rare(size), "shingle long, key long, n int, counted int")
+    rare = bodies.select("body").mapInArrow(_rare(size, percent), "shingle long, key long, n int, counted int")
     shared = rare.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(_counted, "shingle long, key long, n int, counted int, many int")
-    regions = shared.repartition("key").sortWithinPartitions("key", "many", "shingle").mapInArrow(_windows, "shingle long, key long, n int, place int")
-    chained = regions.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(_families, "a long, b long")
+    regions = shared.repartition("key").sortWithinPartitions("key", "many", "shingle").mapInArrow(_windows(percent), "shingle long, key long, n int, place int")
+    chained = regions.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(_families(percent), "a long, b long")
     families = components(chained).select(F.col("node").alias("key"), F.col("root").alias("family"))
 
     sets = profile.filter("key is not null").groupBy("key").agg(F.min("id").alias("least"), F.max("n").alias("n"))
@@ -390,7 +411,7 @@ def jaccard_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
     low, high = F.least("own", "other"), F.greatest("own", "other")
     # In the tile of two blocks, the second block is marked.
     tiles = dealt.select(F.xxhash64("family", low, high).alias("tile"), ((F.col("own") == high) & (low != high)).alias("second"), "key", "members")
-    links = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_compare, "a long, b long")
+    links = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_compare(percent), "a long, b long")
     grouped = components(links)
 
     classes = sets.select("key", "least").join(grouped.withColumnRenamed("node", "key"), "key", "left")

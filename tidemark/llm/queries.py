@@ -40,7 +40,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group documents by links of Jaccard similarity 0.9 or more over 3-word shingles."""
-    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3)
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

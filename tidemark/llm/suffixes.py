@@ -378,3 +378,42 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
     cut = bodies.join(spans, ["id", "check"], "left").select("id", "body", "spans")
     schema = "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     return cut.mapInArrow(_cut, schema).withColumnRenamed("id", id_column)
+
+
+def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without their removed bytes; a character that is removed in part only stays."""
+    for batch in batches:
+        texts = []
+        for i in range(batch.num_rows):
+            text, found = batch.column("body")[i].as_py(), batch.column("spans")[i]
+            if found.is_valid and len(found.values):
+                body = text.encode("utf-8", "surrogatepass")
+                starts, ends = (found.values.field(c).to_numpy().astype(np.int64) for c in ("start", "end"))
+                order = np.argsort(starts, kind="stable")
+                kept, at = [], 0
+                for a, b in zip(*(edge.tolist() for edge in joined(starts[order], ends[order]))):
+                    while a < len(body) and body[a] & 0xC0 == 0x80:
+                        a += 1
+                    while b < len(body) and body[b] & 0xC0 == 0x80:
+                        b -= 1
+                    kept.append(body[at:a])
+                    at = b
+                text = b"".join([*kept, body[at:]]).decode("utf-8", "surrogatepass")
+            texts.append(text)
+        yield pa.RecordBatch.from_arrays([batch.column("own"), pa.array(texts, pa.string())], ["own", "body"])
+
+
+def without_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH) -> DataFrame:
+    """All columns of ``documents``, with repeated passages taken out of the texts; whole characters only.
+
+    A null text becomes the empty text; all rows stay.
+    """
+    body = whole_text(f"`{text_column}`")
+    own = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("own")
+    keyed = documents.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-1)).alias("id"), F.hash(body).alias("check"), body.alias("body"), own)
+    spans = repeated_spans(keyed.select("id", "check", "body"), length).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    cut = keyed.join(spans, ["id", "check"], "left").select("own", "body", "spans")
+    # The text itself need not travel twice.
+    cut = cut.withColumn("own", F.col("own").dropFields(text_column))
+    kept = cut.select("own", "body", "spans").mapInArrow(_rewritten, cut.select("own", "body").schema)
+    return kept.select(*(F.col("body").alias(c) if c == text_column else F.col(f"own.`{c}`") for c in documents.columns))

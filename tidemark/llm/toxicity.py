@@ -265,10 +265,12 @@ def held_out(id_column: str = "doc_id") -> Column:
 def apply(model: Model, documents: DataFrame, text_column: str = "text", passages: bool = False) -> DataFrame:
     """Add ``toxicity``, the document's score, and, on request, ``passages``: word ranges of significant segments.
 
-    A null or empty text has no segment and the score of that. Every row keeps all of its columns.
+    A null or empty text has no segment and the score of that. Every row keeps all of its columns; columns of these two
+    names are replaced.
     """
     spark = documents.sparkSession
     ship(spark)
+    documents = documents.drop("toxicity", "passages")
     shared = spark.sparkContext.broadcast(model)
     kept = documents.schema
     schema = "rows struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in kept) + ">, toxicity double, passages array<struct<start:int,end:int,score:double,expected:double>>"
@@ -310,3 +312,11 @@ def score_documents(
         (F.col("toxicity") >= threshold).cast("int").alias("predicted"),
         *(["passages"] * passages),
     )
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.7) -> DataFrame:
+    """All columns of the documents whose score stays below the threshold."""
+    ship(documents.sparkSession)
+    taught = labels.filter(~held_out(id_column) & F.col(id_column).isNotNull())
+    model = fit(documents, taught, id_column, text_column, "toxic")
+    return apply(model, documents, text_column).filter(F.col("toxicity") < threshold).drop("toxicity")
