@@ -94,6 +94,17 @@ def test_an_invalid_key_stops_the_run(spark, folder):
     assert pipeline.load_cursor(s.SOURCE) is None
 
 
+def test_a_row_without_a_place_stops_the_run(spark, folder):
+    for missing in ("source_updated_at", "order_key"):
+        pipeline = make(spark, f"{folder}/{missing}")
+        rows = s.journal(spark, [s.journal_row(k) for k in (1, 2, 3)])
+        rows = rows.withColumn(missing, F.when(F.col("order_key") != 2, F.col(missing)))
+        with pytest.raises(cap.CaptureError):
+            pipeline.sync(rows, s.SOURCE)
+        assert pipeline.load_cursor(s.SOURCE) is None
+        assert [r["status"] for r in pipeline.runs().collect()] == ["failed"]
+
+
 def test_a_journal_behind_the_checkpoint_fails_closed(spark, folder):
     pipeline = make(spark, folder)
     pipeline.sync(s.journal(spark, [s.journal_row(1), s.journal_row(2)]), s.SOURCE)
@@ -173,28 +184,27 @@ def test_end_to_end_golden_numbers(spark, sf, folder):
     assert reasons == {"invalid_json": 1, "business_quality_violation": 1, "invalid_envelope": 1, "source_version_conflict": 1}
 
     before = pipeline.ledger()
-    proof = pipeline.replay("one")
-    assert proof["passed"], proof
-    assert proof["consumed"] == n + 9
-    assert proof["after"]["rejections"] == 8 and proof["after"]["deliveries"] == 2 * (n + 9)
+    proof = {row["measure"]: row for row in pipeline.replay("one").collect()}
+    assert all(row["holds"] for row in proof.values()), proof
+    assert int(proof["deliveries"]["after"]) - int(proof["deliveries"]["before"]) == n + 9
+    assert proof["rejections"]["after"] == "8" and proof["deliveries"]["after"] == str(2 * (n + 9))
     assert checks.ledger_losses(before, pipeline.ledger()).isEmpty()
     assert checks.check_constraints(pipeline.public_tables()).filter("violations > 0").isEmpty()
 
     pipeline.compact_current()
-    assert checks.state_fingerprint(pipeline.orders_current()).first()["sha256"] == proof["after"]["state"]["sha256"]
+    assert checks.state_fingerprint(pipeline.orders_current()).first()["sha256"] == proof["state"]["after"]
     stats = pipeline.stats()
     assert stats.counts.first()["unique_events"] == n + 5
     mark = stats.watermarks.first()
     assert mark["last_order_key"] == lowest and mark["last_sync_completed_at"] is not None
 
-    report = pipeline.census()
-    assert report["before"]["event_deliveries"] == 2 * (n + 9) and not report["cleared"]
-    assert pipeline.census(execute=True)["cleared"]
-    assert pipeline.census()["before"] == {name: 0 for name in report["before"]}
+    assert {r["table_name"]: r["row_count"] for r in pipeline.census().collect()}["event_deliveries"] == 2 * (n + 9)
+    assert pipeline.reset() and not pipeline.reset()
+    assert {r["row_count"] for r in pipeline.census().collect()} == {0}
     assert pipeline.load_cursor(s.SOURCE) is not None
     pipeline.materialize(pipeline.wire(), "rebuild")
-    rebuilt = pipeline.snapshot()
-    assert rebuilt["state"] == proof["after"]["state"] and rebuilt["logical_events"] == n + 5
+    rebuilt = {row["measure"]: row["value"] for row in pipeline.snapshot().collect()}
+    assert rebuilt["state"] == proof["state"]["after"] and rebuilt["logical events"] == str(n + 5)
     # Receipt ids go on after a reset.
     assert pipeline.ledger().agg(F.min("delivery_id")).first()[0] > 2 * (n + 9)
 
@@ -274,7 +284,7 @@ def test_empty_tables(spark, folder):
     delay = stats.processing_delay.first()
     assert delay["sample_count"] == 0 and delay["avg_seconds"] is None and delay["max_seconds"] is None
     assert inspect.events_page(pipeline.ledger()) == inspect.Page([], None)
-    assert pipeline.census()["missing_tables"] == ["orders_current", "event_rejections", "processed_events", "event_deliveries"]
+    assert {(r["row_count"], r["exists"]) for r in pipeline.census().collect()} == {(0, False)}
 
 
 def test_fingerprint_covers_business_state_only(spark):

@@ -42,16 +42,16 @@ SOURCE_VERSION_CONFLICT = "source_version_conflict"
 
 # Accepted spellings outside the canonical tier. Stricter than a lenient parser: no numeric timestamps in
 # strings, no week dates, and so on.
-_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([Zz]|[+-]\d{2}:?\d{2})\z"
-_NAIVE_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?\z"
+_TIME_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?([Zz]|[+-]\d{2}:?\d{2})\z"
+_NAIVE_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2}[Tt _]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?\z"
 _UUID_PATTERN = r"(?i)^(urn:uuid:)?[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z|^[0-9a-f]{32}\z"
-_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}\z"
+_DATE_PATTERN = r"^(?!0000)\d{4}-\d{2}-\d{2}\z"
 _DECIMAL_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*\z"
 
 # --- Tier one: canonical messages ----------------------------------------------------------------------
 
 _INT = r"[1-9][0-9]{0,18}"
-_TIME = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}Z"
+_TIME = r"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}Z"
 _UUID = r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}"
 
 _CANONICAL = (
@@ -59,7 +59,7 @@ _CANONICAL = (
     r'"entity_key":"order:[1-9][0-9]*","payload":\{'
     rf'"order_key":{_INT},"customer_key":{_INT},'
     r'"customer_name":"[^"\\\x00-\x1f�]{1,200}","order_status":"[OFP]",'
-    r'"total_price":"[0-9]{1,16}\.[0-9]{2}","order_date":"[0-9]{4}-[0-9]{2}-[0-9]{2}"\},'
+    r'"total_price":"[0-9]{1,16}\.[0-9]{2}","order_date":"(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}"\},'
     rf'"occurred_at":"{_TIME}","captured_at":"{_TIME}","schema_version":1,"source_version":{_INT},'
     rf'"source_updated_at":"{_TIME}","batch_id":"{_UUID}","sync_run_id":"{_UUID}",'
     rf'"batch_sequence":{_INT}\}}\z'

@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import entity_key, raw_record, stable_event_id, uuid_text
@@ -84,7 +85,29 @@ def high_watermark(journal: DataFrame) -> Cursor | None:
 
 def assert_no_regression(after: Cursor | None, high: Cursor | None) -> None:
     if after is not None and (high is None or after.follows(high)):
-        raise CaptureError("source journal regressed behind the durable checkpoint")
+        raise CaptureError("the journal regressed: it ends before the checkpoint")
+
+
+def assert_placed(journal: DataFrame) -> None:
+    """A row without a time or key has no place in the order: it would be passed over for good, so capture stops."""
+    if not journal.filter(F.col(CURSOR[0]).isNull() | F.col(CURSOR[1]).isNull()).isEmpty():
+        raise CaptureError("the journal holds a row without a time or a key")
+
+
+def assert_in_range(pages: DataFrame, after: Cursor | None, high: Cursor) -> None:
+    """All rows lie in ``(after, high]`` and, in the order of their numbers, strictly ascend across chunks.
+
+    Inside a chunk the order is that of the sort; only the ends of chunks are compared.
+    """
+    cursor = F.struct(*CURSOR)
+    ends = pages.groupBy("chunk").agg(F.min(cursor).alias("low"), F.max(cursor).alias("top"))
+    before = W.orderBy("chunk")  # one row for each chunk
+    wrong = F.col("low") <= F.lag("top").over(before)
+    outside = ~after_cursor(after) | ~up_to(high)
+    if not ends.withColumn("_wrong", wrong).filter("_wrong").isEmpty():
+        raise CaptureError("the journal's order broke between two chunks")
+    if not pages.filter(outside).isEmpty():
+        raise CaptureError("a row lies outside the captured range")
 
 
 def journal_page(journal: DataFrame, after: Cursor | None, high: Cursor, limit: int) -> DataFrame:

@@ -266,20 +266,16 @@ def ledger_losses(before: DataFrame, after: DataFrame) -> DataFrame:
     return stamped(before).join(stamped(after), ["delivery_id", "_content"], "left_anti").select("delivery_id")
 
 
-def snapshot(
-    current: DataFrame, processed: DataFrame, ledger: DataFrame, quarantine: DataFrame, state: DataFrame
-) -> dict:
-    """Comparable summary before and after a replay. The driver receives a handful of aggregates."""
-    fingerprint = state_fingerprint(current).first()
-    checkpoint = state.select(
-        "source", utc_timestamp(F.col("last_updated_at")), "last_order_key", "last_completed_batch_id"
-    ).orderBy("source")
-    counts = ledger.agg(F.count(F.lit(1)), F.count_if(F.col("disposition") == "rejected")).first()
-    return {
-        "state": {"entities": fingerprint["entities"], "sha256": fingerprint["sha256"]},
-        "logical_events": processed.count(),
-        "deliveries": counts[0],
-        "rejections": counts[1],
-        "source_quarantine": quarantine.count(),
-        "checkpoint": [tuple(row) for row in checkpoint.collect()],
-    }
+def snapshot(current: DataFrame, ledger: DataFrame, quarantine: DataFrame, state: DataFrame) -> DataFrame:
+    """The state as (measure, value) rows, all of them text: aggregates, and a checkpoint for each source."""
+    finger = state_fingerprint(current).select(F.expr("stack(2, 'entities', string(entities), 'state', sha256) as (measure, value)"))
+    by = dispositions(ledger).agg(
+        F.coalesce(F.sum("deliveries"), F.lit(0)).alias("all"),
+        F.coalesce(F.sum(F.when(F.col("disposition").isin("accepted", "stale"), F.col("deliveries"))), F.lit(0)).alias("unique"),
+        F.coalesce(F.sum(F.when(F.col("disposition") == "rejected", F.col("deliveries"))), F.lit(0)).alias("refused"),
+    )
+    counts = by.select(F.expr("stack(3, 'deliveries', string(all), 'logical events', string(unique), 'rejections', string(refused)) as (measure, value)"))
+    held = quarantine.agg(F.count(F.lit(1)).cast("string").alias("value")).select(F.lit("quarantine").alias("measure"), "value")
+    cursor = F.concat_ws(" ", utc_timestamp(F.col("last_updated_at")), F.col("last_order_key").cast("string"), "last_completed_batch_id")
+    points = state.select(F.concat(F.lit("checkpoint of "), F.col("source")).alias("measure"), cursor.alias("value"))
+    return reduce(DataFrame.unionByName, [finger, counts, held, points])

@@ -23,6 +23,7 @@ from tidemark.functions.validation import SOURCE_VERSION_CONFLICT, validate
 from tidemark.session import ensure_checkpoint_dir
 
 HOT_ROWS = 1_000_000
+MOST_SENT = 10_000  # keys
 ENTITY = ("source", "entity_key")
 EVENT = (*ENTITY, "source_version")
 DISPOSITIONS = ("accepted", "stale", "duplicate", "rejected")
@@ -92,10 +93,11 @@ def _registry_past(known: DataFrame, registry: DataFrame) -> DataFrame:
     One row per event that occurs again, and one per entity with its current (highest) version.
     """
     seen = registry.join(known.select(*EVENT).distinct(), list(EVENT), "left_semi").select(*EVENT, "content_hash")
+    # Aggregated first: an entity of very many versions sends one row per task.
     current = (
-        registry.join(known.select(*ENTITY).distinct(), list(ENTITY), "left_semi")
-        .groupBy(*ENTITY)
+        registry.groupBy(*ENTITY)
         .agg(F.max("source_version").alias("source_version"))
+        .join(known.select(*ENTITY).distinct(), list(ENTITY), "left_semi")
         .withColumn("content_hash", F.lit(None).cast("string"))
     )
     return seen.unionByName(current)
@@ -133,6 +135,11 @@ def _slot_past(known: DataFrame, past: DataFrame | None, hot_rows: int) -> DataF
     return seen.unionByName(highest)
 
 
+def _sent(hot: DataFrame) -> DataFrame:
+    """Hot keys to be joined: broadcast when they are few, which is checked; else left to Spark."""
+    return F.broadcast(hot) if len(hot.limit(MOST_SENT + 1).collect()) <= MOST_SENT else hot
+
+
 def decide(
     checked: DataFrame,
     processed_at: datetime | Column,
@@ -152,14 +159,15 @@ def decide(
     lead = checked
     slot = F.lit(-1).cast("bigint")
     if hot is not None:
-        lead = checked.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "key", "left")
+        hot = _sent(hot)
+        lead = checked.join(hot.withColumn("_hot", F.lit(True)), "key", "left")
         slot = F.when(F.col("_hot"), F.floor(F.col("delivery_id") / hot_rows)).otherwise(slot)
-        hot_known = known.join(F.broadcast(hot), "key", "left_semi").drop("key")
+        hot_known = known.join(hot, "key", "left_semi").drop("key")
         hot_past = None
         if past is not None:
             is_hot = F.encode("entity_key", "UTF-8") == F.col("key")
-            hot_past = past.join(F.broadcast(hot), is_hot, "left_semi")
-            past = past.join(F.broadcast(hot), is_hot, "left_anti")
+            hot_past = past.join(hot, is_hot, "left_semi")
+            past = past.join(hot, is_hot, "left_anti")
         slots = _slot_past(hot_known, hot_past, hot_rows)
         if past is None:
             past = slots
@@ -235,9 +243,7 @@ def decide(
 
 
 def find_hot(received: Received, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """``hot_keys`` of the batch, or None when no key can be or is hot."""
-    if received.count <= hot_rows:
-        return None
+    """``hot_keys`` of the batch, or None when no key is hot."""
     hot = hot_keys(received.rows, hot_rows)
     return None if hot.isEmpty() else hot
 

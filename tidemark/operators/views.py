@@ -12,6 +12,8 @@ def rejections(ledger: DataFrame) -> DataFrame:
     return ledger.filter(F.col("disposition") == "rejected").select(
         F.col("delivery_id").alias("rejection_id"),
         "delivery_id",
+        "topic",
+        "source",
         "reason_code",
         "details",
         F.col("processed_at").alias("rejected_at"),

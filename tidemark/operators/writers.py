@@ -11,14 +11,12 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from tidemark.operators.capture import high_watermark
 from tidemark.operators.numbering import sort_and_number
 from tidemark.schemas import MONEY
 
-# Beyond this many rows a top-n would gather too much in one task; use numbering instead.
-TOP_N_ROWS = 1_000_000
-
 
 class Written(NamedTuple):
     current: DataFrame
@@ -29,7 +27,8 @@ class WriteRefused(RuntimeError):
     """The source is not in the state that the writer needs. Nothing was changed."""
 
 
-def _sample(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def sample(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Sample orders with their customers, as payload columns."""
     joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"], "inner")
     return joined.select(
         F.col("o_orderkey").cast("bigint").alias("order_key"),
@@ -42,11 +41,9 @@ def _sample(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def first_orders(rows: DataFrame, n: int | None) -> DataFrame:
-    """The ``n`` rows with the lowest order keys (all rows for ``None``)."""
+    """The ``n`` rows with the lowest order keys (all rows for ``None``), without gathering them in one task."""
     if n is None:
         return rows
-    if n <= TOP_N_ROWS:
-        return rows.orderBy("order_key").limit(n)
     return sort_and_number(rows, "_n", ["order_key"]).filter(F.col("_n") <= n).drop("_n", "chunk")
 
 
@@ -73,7 +70,7 @@ def seed_source(
     """
     if existing is not None and not all(table.isEmpty() for table in existing):
         raise WriteRefused("seeding needs empty tables")
-    rows = _inserted(first_orders(_sample(orders, customer), n), stamp)
+    rows = _inserted(first_orders(sample(orders, customer), n), stamp)
     return Written(rows, rows)
 
 
@@ -89,7 +86,7 @@ def append_unused(
     """The next ``n`` sample orders whose key is unused. An exhausted sample adds nothing."""
     if current.isEmpty() or journal.isEmpty():
         raise WriteRefused("appending needs a prepared source")
-    unused = _sample(orders, customer).join(current.select("order_key"), "order_key", "left_anti")
+    unused = sample(orders, customer).join(current.select("order_key"), "order_key", "left_anti")
     added = _inserted(first_orders(unused, n), next_stamp(journal, now))
     return Written(current.unionByName(added), added)
 
@@ -97,42 +94,43 @@ def append_unused(
 def mutate_source(current: DataFrame, journal: DataFrame, now: datetime) -> Written:
     """One new order cloned from the lowest, the three lowest +1.00, then the lowest again +2.00.
 
-    Both versions of the lowest order reach the journal, one microsecond apart.
+    Both versions of the lowest order reach the journal, one microsecond apart. The snapshot is one projection of the
+    old one and a row more.
     """
-    lowest = [row["order_key"] for row in current.select("order_key").orderBy("order_key").limit(3).collect()]
+    spark = current.sparkSession
+    kept = [name for name in current.columns if name not in ("source_version", "source_updated_at", "event_type")]
+    lowest = current.select(*kept, "source_version").orderBy("order_key").limit(3).collect()
     if len(lowest) < 3:
         raise WriteRefused("mutating needs at least three orders")
     stamp = next_stamp(journal, now)
-    first_at = F.lit(stamp).cast("timestamp")
-    second_at = F.lit(stamp + timedelta(microseconds=1)).cast("timestamp")
+    later = stamp + timedelta(microseconds=1)
     new_key = current.agg(F.max("order_key")).first()[0] + 1
-
-    def updated(rows: DataFrame, amount: int, at: Column) -> DataFrame:
-        return rows.withColumns(
-            {
-                "total_price": (F.col("total_price") + amount).cast(MONEY),
-                "source_version": F.col("source_version") + 1,
-                "source_updated_at": at,
-                "event_type": F.lit("update"),
-            }
-        )
-
-    touched = current.filter(F.col("order_key").isin(lowest))
-    clone = _inserted(
-        current.filter(F.col("order_key") == lowest[0])
-        .drop("source_version", "source_updated_at", "event_type")
-        .withColumn("order_key", F.lit(new_key).cast("bigint")),
-        first_at,
-    )
-    first = updated(touched, 1, first_at)
-    second = updated(first.filter(F.col("order_key") == lowest[0]), 2, second_at)
-    snapshot = (
-        current.filter(~F.col("order_key").isin(lowest))
-        .unionByName(clone)
-        .unionByName(first.filter(F.col("order_key") != lowest[0]))
-        .unionByName(second)
-    )
-    return Written(snapshot, clone.unionByName(first).unionByName(second))
+    one = lowest[0].asDict()
+    written = [(dict(one, order_key=new_key), 1, stamp, "insert")]
+    for row in lowest:
+        raised = dict(row.asDict(), total_price=row["total_price"] + 1)
+        written.append((raised, row["source_version"] + 1, stamp, "update"))
+    written.append((dict(one, total_price=one["total_price"] + 3), one["source_version"] + 2, later, "update"))
+    schema = current.select(*kept, "source_version").schema
+    values = [tuple(row[name] for name in kept) + (version,) for row, version, _, _ in written]
+    entry = F.col("_n")
+    at, said = F.lit(None).cast("timestamp"), F.lit(None).cast("string")
+    numbered = spark.createDataFrame([(*v, n) for n, v in enumerate(values)], schema.add("_n", IntegerType()))
+    for n, (_, _, when, kind) in enumerate(written):
+        at, said = F.when(entry == n, F.lit(when).cast("timestamp")).otherwise(at), F.when(entry == n, F.lit(kind)).otherwise(said)
+    journal_rows = numbered.withColumns({"source_updated_at": at, "event_type": said}).drop("_n").select(*current.columns)
+
+    # What the journal says last about each of the three orders, as an update of the snapshot's columns.
+    steps = {row["order_key"]: (1, 1, stamp) for row in lowest} | {one["order_key"]: (3, 2, later)}
+    price, version, updated, kind = (F.col(c) for c in ("total_price", "source_version", "source_updated_at", "event_type"))
+    for key, (amount, versions, when) in steps.items():
+        hit = F.col("order_key") == key
+        price = F.when(hit, (F.col("total_price") + amount).cast(MONEY)).otherwise(price)
+        version = F.when(hit, F.col("source_version") + versions).otherwise(version)
+        updated = F.when(hit, F.lit(when).cast("timestamp")).otherwise(updated)
+        kind = F.when(hit, F.lit("update")).otherwise(kind)
+    changed = current.withColumns({"total_price": price, "source_version": version, "source_updated_at": updated, "event_type": kind})
+    return Written(changed.unionByName(journal_rows.filter(F.col("event_type") == "insert")), journal_rows)
 
 
 def clone_orders(
@@ -142,13 +140,13 @@ def clone_orders(
     if current.isEmpty():
         raise WriteRefused("cloning needs a prepared source")
     kept = ["customer_key", "customer_name", "order_status", "total_price"]
-    seed = current.agg(
-        F.max("order_key").alias("_last"), F.min_by(F.struct(*kept), F.col("order_key")).alias("_seed")
-    )
+    found = current.agg(F.max("order_key").alias("last"), F.min_by(F.struct(*kept), F.col("order_key")).alias("seed")).first()
     day = F.lit(today) if today is not None else F.current_date()
-    clones = seed.select(
-        F.explode(F.sequence(F.col("_last") + 1, F.col("_last") + k)).alias("order_key"),
-        *[F.col(f"_seed.{name}").alias(name) for name in kept],
+    types = {field.name: field.dataType for field in current.schema.fields}
+    keys = current.sparkSession.range(found["last"] + 1, found["last"] + 1 + k)
+    clones = keys.select(
+        F.col("id").alias("order_key"),
+        *[F.lit(found["seed"][name]).cast(types[name]).alias(name) for name in kept],
         day.alias("order_date"),
     )
     added = _inserted(clones, next_stamp(journal, now))

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,11 +19,6 @@ from tidemark.operators.classify import HOT_ROWS, classify_received, receive
 from tidemark.sources import wire as topic
 from tidemark.sources.tables import CommittedTables
 
-SINK_TABLES = ("orders_current", "event_rejections", "processed_events", "event_deliveries")
-PIPELINE_TABLES = (
-    *SINK_TABLES, "source_quarantine", "source_entity_versions", "sync_state", "sync_batches", "sync_runs",
-)
-
 _STORED = {
     "ledger": schemas.LEDGER,
     "current_snapshot": (
@@ -35,13 +31,28 @@ _STORED = {
     "quarantine": schemas.QUARANTINE,
     "entity_versions": schemas.ENTITY_VERSIONS,
 }
-# Which stored table a public table is made of.
-_MADE_OF = {
-    "orders_current": "ledger", "event_rejections": "ledger", "processed_events": "ledger",
-    "event_deliveries": "ledger", "source_quarantine": "quarantine",
-    "source_entity_versions": "entity_versions", "sync_state": "page_events",
-    "sync_batches": "page_events", "sync_runs": "run_events",
+
+
+class Public(NamedTuple):
+    """A table that readers see: what it is made of and how."""
+
+    stored: str
+    rows: Callable[["Pipeline"], DataFrame]
+
+
+# Everything made of the ledger belongs to the sink; the rest is the capture side's.
+PUBLIC = {
+    "event_deliveries": Public("ledger", lambda p: p.ledger()),
+    "event_rejections": Public("ledger", lambda p: p.rejections()),
+    "orders_current": Public("ledger", lambda p: p.orders_current()),
+    "processed_events": Public("ledger", lambda p: p.processed_events()),
+    "source_entity_versions": Public("entity_versions", lambda p: p.entity_versions()),
+    "source_quarantine": Public("quarantine", lambda p: p.quarantine()),
+    "sync_batches": Public("page_events", lambda p: p.batches()),
+    "sync_runs": Public("run_events", lambda p: p.runs()),
+    "sync_state": Public("page_events", lambda p: p.state()),
 }
+SCOPES = {"sink": [name for name, t in PUBLIC.items() if t.stored == "ledger"], "pipeline": list(PUBLIC)}
 
 
 def now_utc() -> datetime:
@@ -54,6 +65,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] = now_utc):
         self.spark = spark
         self.clock = clock
+        self.root = root
         self.wire_path = f"{root.rstrip('/')}/wire"
         self.tables = CommittedTables(spark, f"{root.rstrip('/')}/tables", _STORED)
 
@@ -79,6 +91,12 @@ class Pipeline:
         )
         return views.merge_current(snapshot, newer)
 
+    def pinned(self) -> Pipeline:
+        """The pipeline as of now: all reads of the returned object see the same commits."""
+        now = Pipeline(self.spark, self.root, self.clock)
+        now.tables.pin()
+        return now
+
     def compact_current(self) -> None:
         """Write the current state as a snapshot, so that reads start from it."""
         commits = self.tables.commits()
@@ -98,6 +116,10 @@ class Pipeline:
 
     def runs(self) -> DataFrame:
         """One row per run. A run without an end is running if it is its source's latest, else failed."""
+        return self._runs().drop("_reported")
+
+    def _runs(self) -> DataFrame:
+        """``runs`` and whether the run reported its own end."""
         events = self.tables.read("run_events")
         ends = events.filter(F.col("event") != "started").select(
             "run_id", F.col("event").alias("_end"), F.col("at").alias("_end_at")
@@ -122,6 +144,7 @@ class Pipeline:
                 F.when(F.col("_end").isNotNull(), F.col("_end_at"))
                 .when(abandoned, F.col("_latest"))
                 .alias("finished_at"),
+                F.col("_end").isNotNull().alias("_reported"),
             )
         )
 
@@ -132,14 +155,14 @@ class Pipeline:
         open_pages = events.filter(F.col("status") == "running").join(
             published.select("batch_id"), "batch_id", "left_anti"
         )
-        runs = self.runs().select(
-            "run_id", F.col("status").alias("_run_status"), F.col("finished_at").alias("_run_end")
+        runs = self._runs().select(
+            "run_id", "_reported", F.col("status").alias("_run_status"), F.col("finished_at").alias("_run_end")
         )
         over = F.col("_run_status") != "running"
         unfinished = (
             open_pages.join(runs, "run_id")
             .withColumn("status", F.when(over, "failed").otherwise("running"))
-            .withColumn("error_code", F.when(over, "sync_failure"))
+            .withColumn("error_code", F.when(over, F.when(F.col("_reported"), "sync_failure").otherwise("worker_restart")))
             .withColumn("finished_at", F.when(over, F.col("_run_end")))
         )
         return published.unionByName(unfinished.select(*published.columns))
@@ -148,52 +171,38 @@ class Pipeline:
         return inspect.sync_state(self.tables.read("page_events"))
 
     def public_tables(self) -> dict[str, DataFrame]:
-        ledger = self.ledger()
-        return {
-            "orders_current": self.orders_current(),
-            "event_rejections": views.rejections(ledger),
-            "processed_events": views.processed_events(ledger),
-            "event_deliveries": ledger,
-            "source_quarantine": self.quarantine(),
-            "source_entity_versions": self.entity_versions(),
-            "sync_state": self.state(),
-            "sync_batches": self.batches(),
-            "sync_runs": self.runs(),
-        }
+        return {name: table.rows(self) for name, table in PUBLIC.items()}
 
     def stats(self) -> inspect.Stats:
-        return inspect.stats(self.ledger(), self.quarantine(), self.state(), self.runs(), self.batches())
+        """All statistics as of one commit."""
+        now = self.pinned()
+        return inspect.stats(now.ledger(), now.quarantine(), now.state(), now.runs(), now.batches())
 
-    def snapshot(self) -> dict:
-        ledger = self.ledger()
-        return checks.snapshot(
-            self.orders_current(), views.processed_events(ledger), ledger, self.quarantine(), self.state()
-        )
+    def snapshot(self) -> DataFrame:
+        """Comparable measures of the state, as of one commit."""
+        now = self.pinned()
+        return checks.snapshot(now.orders_current(), now.ledger(), now.quarantine(), now.state())
+
+    def census(self, scope: str = "sink") -> DataFrame:
+        """Rows of each table of a scope: (table_name, row_count, exists), as of one commit."""
+        now = self.pinned()
+
+        def counted(name: str) -> DataFrame:
+            there = now.tables.exists(PUBLIC[name].stored)
+            return PUBLIC[name].rows(now).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.lit(there).alias("exists"))
 
-    def census(self, scope: str = "sink", execute: bool = False) -> dict:
-        """Count the tables of a scope; with ``execute`` also empty them. Receipt ids go on."""
-        if scope not in ("sink", "pipeline"):
-            raise ValueError("unknown scope")
-        names = SINK_TABLES if scope == "sink" else PIPELINE_TABLES
-        missing = [name for name in names if not self.tables.exists(_MADE_OF[name])]
-        frames = self.public_tables()
-        present = [name for name in names if name not in missing]
-        before = {}
-        if present:
-            counts = [frames[name].agg(F.lit(name).alias("t"), F.count(F.lit(1)).alias("n")) for name in present]
-            before = {row["t"]: row["n"] for row in reduce(DataFrame.unionByName, counts).collect()}
-            before = {name: before[name] for name in present}
-        report = {
-            "scope": scope, "before": before, "missing_tables": missing, "cleared": False, "after": dict(before),
-        }
-        if not execute or not any(before.values()):
-            return report
-        if missing:
-            raise RuntimeError("refused: some tables of the scope do not exist yet")
-        stored = {_MADE_OF[name] for name in names}
+        return reduce(DataFrame.unionByName, [counted(name) for name in SCOPES[scope]])
+
+    def reset(self, scope: str = "sink") -> bool:
+        """Empty all tables of a scope; False if they are empty already. Receipt ids go on."""
+        rows = self.census(scope).collect()
+        if not any(row["row_count"] for row in rows):
+            return False
+        if not all(row["exists"] for row in rows):
+            raise RuntimeError("a table of the scope does not exist; nothing was emptied")
+        stored = {PUBLIC[name].stored for name in SCOPES[scope]}
         facts = {"snapshot_order": 0} if "ledger" in stored else {}
-        self.tables.commit(f"reset-{uuid.uuid4().hex}", {}, facts=facts, reset=tuple(stored))
-        return {**report, "cleared": True, "after": {name: 0 for name in present}}
+        return self.tables.commit(f"reset-{uuid.uuid4().hex}", {}, facts=facts, reset=tuple(sorted(stored)))
 
     # --- capture -------------------------------------------------------------------------------------------
     def load_cursor(self, source: str) -> cap.Cursor | None:
@@ -257,6 +266,7 @@ class Pipeline:
         publish: Callable[[DataFrame], None] | None,
         partition: Column | None,
     ) -> int:
+        cap.assert_placed(journal)
         part = cap.journal_range(journal, after, high)
         unsafe = cap.first_unsafe_cursor(part)
         if unsafe is not None:
@@ -265,6 +275,7 @@ class Pipeline:
                 (F.col("source_updated_at") < at) | ((F.col("source_updated_at") == at) & (F.col("order_key") < key))
             )
         pages = cap.plan_pages(part, batch_size)
+        cap.assert_in_range(pages, after, high)
         seen, last_at, last_key = (
             pages.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*cap.CURSOR)).alias("c"))
             .select("n", F.unix_micros("c.source_updated_at"), "c.order_key")
@@ -301,8 +312,9 @@ class Pipeline:
         partition: Column | None,
     ) -> None:
         def pages(status: str, finished: datetime | None) -> DataFrame:
+            published = "records_published" if finished else F.lit(0).cast("bigint").alias("records_published")
             return batches.select(
-                "*",
+                *(published if name == "records_published" else name for name in batches.columns),
                 F.lit(status).alias("status"),
                 F.lit(None).cast("string").alias("error_code"),
                 cap.at_literal(captured_at).alias("started_at"),
@@ -366,20 +378,22 @@ class Pipeline:
             partition_by={"ledger": "disposition"},
         )
 
-    def replay(self, name: str) -> dict:
-        """Deliver the whole topic again from offset 0 and prove that business state did not change."""
-        before = self.snapshot()
+    def replay(self, name: str) -> DataFrame:
+        """Deliver the whole topic again from offset 0: each measure before and after, and whether it is as it must be.
+
+        Business state must not change; the log of deliveries must grow by what was read.
+        """
+        before = self.snapshot().withColumnRenamed("value", "before").collect()
         ends = topic.topic_offsets(self.wire())
         pinned = self.spark.createDataFrame(ends.collect(), ends.schema)  # one row per partition
         bounded = topic.read_bounded(self.wire(), pinned)
-        consumed = bounded.count()
+        read = bounded.count()
         self.materialize(bounded, f"replay-{name}")
-        after = self.snapshot()
         topic.assert_unchanged(pinned, self.wire())
-        checks_ = {
-            "state": before["state"] == after["state"],
-            "logical_events": before["logical_events"] == after["logical_events"],
-            "checkpoint": before["checkpoint"] == after["checkpoint"],
-            "audit": after["deliveries"] - before["deliveries"] == consumed,
-        }
-        return {"before": before, "after": after, "consumed": consumed, "checks": checks_, "passed": all(checks_.values())}
+        # A handful of measures.
+        earlier = self.spark.createDataFrame(before, "measure string, before string")
+        after = self.snapshot().withColumnRenamed("value", "after")
+        grown = F.col("after").cast("bigint") - F.col("before").cast("bigint") == read
+        same = F.col("before").eqNullSafe(F.col("after"))
+        holds = F.when(F.col("measure") == "deliveries", grown).when(F.col("measure") == "rejections", F.lit(True)).otherwise(same)
+        return earlier.join(after, "measure", "full_outer").withColumn("holds", holds)

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import content_hash, date_text, money, utc_timestamp
@@ -26,9 +27,6 @@ from tidemark.streaming.ingest import run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Default sizes of a first import and of an append.
-SEED_ROWS = 20_000
-APPEND_ROWS = 10_000
 MUTATED = T0 + timedelta(days=1)
 LATER = T0 + timedelta(days=2)
 TODAY = date(2026, 1, 3)
@@ -74,17 +72,19 @@ def load_seed(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def seed_source(spark: SparkSession, sf: str) -> DataFrame:
-    return _journal_text(writers.seed_source(*fixture.sample_tables(spark, sf), SEED_ROWS, T0).current)
+    """A first import of the lower half of the sample, by key."""
+    orders, customer = fixture.sample_tables(spark, sf)
+    half = writers.sample(orders, customer).count() // 2
+    return _journal_text(writers.seed_source(orders, customer, half, T0).current)
 
 
 @query
 def append_unused(spark: SparkSession, sf: str) -> DataFrame:
-    """A source that holds every third order; the next unused ones are appended."""
+    """A source that holds every third order; the lower half of the unused ones is appended."""
     orders, customer = fixture.sample_tables(spark, sf)
     held = writers.seed_source(orders.filter("o_orderkey % 3 = 0"), customer, None, T0)
-    return _journal_text(
-        writers.append_unused(held.current, held.journal_rows, orders, customer, APPEND_ROWS, T0).journal_rows
-    )
+    half = writers.sample(orders, customer).filter("order_key % 3 <> 0").count() // 2
+    return _journal_text(writers.append_unused(held.current, held.journal_rows, orders, customer, half, T0).journal_rows)
 
 
 @query
@@ -577,15 +577,62 @@ def state_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def table_census(spark: SparkSession, sf: str) -> DataFrame:
     """Row counts of the sink tables."""
-    ledger = _stored_ledger(spark, sf)
-    tables = {
-        "event_deliveries": ledger,
-        "event_rejections": views.rejections(ledger),
-        "orders_current": views.orders_current(ledger),
-        "processed_events": views.processed_events(ledger),
-    }
-    counts = [frame.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, frame in tables.items()]
-    total = counts[0]
-    for more in counts[1:]:
-        total = total.unionByName(more)
-    return total
+    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
+    pipeline.materialize(fixture.wire(spark, sf), "all")
+    return pipeline.census().select("table_name", "row_count")
+
+
+class _Killed(BaseException):
+    """Ends a worker without giving it the chance to report."""
+
+
+def _three_runs(spark: SparkSession, sf: str) -> Pipeline:
+    """A pipeline whose first run fails, whose second is killed and whose third completes; four pages in all."""
+    ticks = iter(range(1, 1_000_000))
+    pipeline = Pipeline(spark, _scratch(spark), clock=lambda: T0 + timedelta(seconds=next(ticks)))
+    rows = fixture.journal(spark, sf)
+    page = (rows.count() + 3) // 4
+
+    def ending(error: BaseException | None):
+        calls = []
+
+        def publish(events: DataFrame) -> None:
+            calls.append(events)
+            if error is not None and len(calls) == 2:
+                raise error
+
+        return publish
+
+    for error in (RuntimeError("the broker does not answer"), _Killed(), None):
+        try:
+            pipeline.sync(rows, fixture.SOURCE, batch_size=page, commit_pages=1, publish=ending(error))
+        except (RuntimeError, _Killed) as stopped:
+            if stopped is not error:
+                raise
+    return pipeline
+
+
+def _numbered_runs(pipeline: Pipeline) -> DataFrame:
+    """Runs of one source with their number; three rows."""
+    return pipeline.runs().withColumn("run", F.row_number().over(W.partitionBy("source").orderBy("started_at")))
+
+
+@query
+def sync_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return _numbered_runs(_three_runs(spark, sf)).select("run", "mode", "status", "high_watermark_order_key")
+
+
+@query
+def sync_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of a failed, a killed and a completed run, as the pipeline recorded them."""
+    pipeline = _three_runs(spark, sf)
+    runs = _numbered_runs(pipeline).select("run_id", "run")
+    return pipeline.batches().join(runs, "run_id").select(
+        "run",
+        F.col("batch_sequence").cast("int").alias("batch_sequence"),
+        "status",
+        "error_code",
+        F.col("records_seen").cast("bigint").alias("records_seen"),
+        F.col("records_published").cast("bigint").alias("records_published"),
+        "to_order_key",
+    )

@@ -31,6 +31,7 @@ class CommittedTables:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = dict(schemas)
+        self._pinned: list[str] | None = None
         self._known: dict[str, Commit] = {}  # markers never change, so each is read once
 
     # --- small files through the Hadoop file system, so that any storage works -------------------------
@@ -39,7 +40,13 @@ class CommittedTables:
         target = hadoop.Path(path)
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
 
+    def pin(self) -> None:
+        """From now on, reads see the commits of this moment and no later ones."""
+        self._pinned = self._marker_names()
+
     def _marker_names(self) -> list[str]:
+        if self._pinned is not None:
+            return self._pinned
         fs, folder = self._fs(f"{self.root}/_commits")
         if not fs.exists(folder):
             return []
