@@ -131,10 +131,15 @@ def disclosing_terms(rows: DataFrame, holders: DataFrame) -> DataFrame:
     """(entity, term) pairs that reach the thresholds. ``rows``: row, body; ``holders``: row, body, spans."""
     total = rows.count()
     seen = holders.select("row", F.xxhash64("body").alias("copy"), F.explode("spans").alias("span"), "body").select("row", "copy", _entity(F.col("span")).alias("entity"), _nearby(F.col("body"), F.col("span")).alias("terms"))
-    with_entity = seen.groupBy("entity").agg(F.approx_count_distinct("copy").alias("copies"), F.count_distinct("row").alias("n_entity"))
+    with_entity = seen.groupBy("entity").agg(F.count_distinct("row").alias("n_entity"))
     pairs = seen.select("row", "copy", "entity", F.explode("terms").alias("term"))
     both = pairs.groupBy("entity", "term").agg(F.count_distinct("copy").alias("support"), F.count_distinct("row").alias("n_both"))
-    likely = materialized(both.filter(F.col("support") >= SUPPORT))
+    # A word discloses only if few documents have it. Those that hold entities, a small part, already rule out words
+    # that are frequent everywhere, before all documents are counted.
+    most = F.col("n_both") * F.pow(F.lit(float(total)) / F.col("n_entity"), F.lit(1 - DISCLOSES))
+    held = holders.select(F.explode(F.array_distinct(_words(F.col("body")))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_held"))
+    bounded = both.filter(F.col("support") >= SUPPORT).join(with_entity, "entity").withColumn("most", most).join(held, "term")
+    likely = materialized(bounded.filter(F.col("n_held") <= F.col("most") + 1e-6).select("entity", "term", "n_both", "n_entity"))
     # Which of the bitmap's places hold a candidate: at most BITMAP numbers.
     place = F.pmod(F.xxhash64("term"), F.lit(BITMAP)).cast("int")
     places = {r["place"] for r in likely.select(place.alias("place")).distinct().collect()}
@@ -144,7 +149,7 @@ def disclosing_terms(rows: DataFrame, holders: DataFrame) -> DataFrame:
     candidate = lambda w: F.substring(bits, F.pmod(F.xxhash64(w), F.lit(BITMAP)).cast("int") + 1, F.lit(1)) == F.unhex(F.lit("01"))
     held = rows.select(F.explode(F.array_distinct(F.filter(_words(F.col("body")), candidate))).alias("term"))
     with_term = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).join(likely.select("term").distinct(), "term", "left_semi")
-    counted = likely.join(with_term, "term").join(with_entity.select("entity", "n_entity"), "entity")
+    counted = likely.join(with_term, "term")
     information = F.log(F.lit(float(total)) / F.col("n_entity"))
     mutual = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
     return counted.filter((information > 0) & (mutual >= DISCLOSES * information)).select("entity", "term")
