@@ -42,7 +42,7 @@ HINTS = {
     "card": lambda text: text.rlike(r"[0-9](?:[\x20-]?[0-9]){15}"),
     "phone": lambda text: F.contains(text, F.lit("+")),
 }
-_PART = "0*+(?:[0-9]|[1-9][0-9]|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_PART = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 _SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
