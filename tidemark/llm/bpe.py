@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ship, whole_text
 
 NEVER = 1 << 40
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 
 
 class MergeTable:

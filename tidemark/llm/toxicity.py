@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemark.llm.common import materialized, ship, whole_text
 
@@ -36,7 +37,8 @@ SUREST = 5.0  # least signed root of a feature's likelihood ratio, about a stand
 STRONGEST = 0.85  # least log-odds of a feature, as a share of what a feature of one class alone has
 FILLER = -0.15
 TOP = 6.0
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+COUNTED_TOGETHER = 500  # documents
 SIGNIFICANT = 0.05
 
 WORD = re.compile(r"\w+")
@@ -133,16 +135,16 @@ class Scorer:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each class that have a feature, summed up over a batch."""
+    """Documents of each class that have a feature, summed up over a part of a batch."""
     words: dict[str, set[str]] = {}
-    for batch in batches:
+    for batch in (whole.slice(at, COUNTED_TOGETHER) for whole in batches for at in range(0, whole.num_rows, COUNTED_TOGETHER)):
         counts = (Counter(), Counter())
         for i in range(batch.num_rows):
             found: set[str] = set()
             for word in set(WORD.findall(batch.column("body")[i].as_py().lower())):
                 kept = words.get(word)
                 if kept is None:
-                    if len(words) >= CACHE_WORDS // 8:
+                    if len(words) >= CACHE_WORDS // 10:
                         words.clear()
                     kept = words[word] = features(word)
                 found |= kept
@@ -272,8 +274,12 @@ def apply(model: Model, documents: DataFrame, text_column: str = "text", passage
     ship(spark)
     documents = documents.drop("toxicity", "passages")
     shared = spark.sparkContext.broadcast(model)
-    kept = documents.schema
-    schema = "rows struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in kept) + ">, toxicity double, passages array<struct<start:int,end:int,score:double,expected:double>>"
+    # The text travels once, beside the other columns.
+    others = [c for c in documents.columns if c != text_column]
+    rest = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("rows")
+    packed = documents.select(rest, F.col(f"`{text_column}`").cast("string").alias("body"))
+    passage = StructType().add("start", "integer").add("end", "integer").add("score", "double").add("expected", "double")
+    schema = StructType(list(packed.schema.fields)).add("toxicity", "double").add("passages", ArrayType(passage))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
@@ -282,14 +288,14 @@ def apply(model: Model, documents: DataFrame, text_column: str = "text", passage
         for batch in batches:
             scores, found = [], []
             for i in range(batch.num_rows):
-                words, segments = scorer.scan(batch.column("body")[i].as_py())
+                words, segments = scorer.scan(batch.column("body")[i].as_py() or "")
                 scores.append(rule.score(len(words), segments))
                 found.append([{"start": a, "end": b, "score": s, "expected": e} for a, b, s in segments if (e := rule.expected(len(words), s)) <= SIGNIFICANT] if passages else None)
-            yield pa.RecordBatch.from_arrays([batch.column("rows"), pa.array(scores, pa.float64()), pa.array(found, shape)], ["rows", "toxicity", "passages"])
+            yield pa.RecordBatch.from_arrays([batch.column("rows"), batch.column("body"), pa.array(scores, pa.float64()), pa.array(found, shape)], ["rows", "body", "toxicity", "passages"])
 
-    packed = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("rows"), whole_text(text_column).alias("body"))
     scored = packed.mapInArrow(run, schema)
-    return scored.select("rows.*", "toxicity", *(["passages"] * passages))
+    columns = [F.col("body").alias(c) if c == text_column else F.col(f"rows.`{c}`") for c in documents.columns]
+    return scored.select(*columns, "toxicity", *(["passages"] * passages))
 
 
 def score_documents(
