@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.plans.fixture import RUN, SECOND_RUN, SOURCE
+from tidemark.plans.queries import PLANTED
 from tidemark.sources.wire import TOPIC
 
 T0 = "TIMESTAMP '2026-01-01 00:00:00'"
@@ -295,6 +296,31 @@ _STATUS_BATCH_ID = _uuid(f"'{RUN}:shop.' || order_status || ':' || batch_sequenc
 _LATER = "TIMESTAMP '2026-01-03 00:00:00'"
 
 
+def _planted() -> str:
+    """How many orders break each rule, counted from the order keys; a doubled row counts twice in a domain rule."""
+    keys = {
+        "event_deliveries": ["delivery_id"], "processed_events": ["event_id", "source, entity_key, source_version"],
+        "orders_current": ["source, entity_key"], "event_rejections": ["delivery_id"], "sync_runs": ["run_id"],
+        "sync_batches": ["batch_id", "run_id, batch_sequence"], "sync_state": ["source"],
+        "source_entity_versions": ["source, entity_key"], "source_quarantine": ["source, source_updated_at, order_key"],
+    }
+    links = ("run_id", "last_completed_batch_id", "first_delivery_id", "last_event_id", "delivery_id", "batch_id")
+    paired = {"from_order_key": "from cursor paired", "last_updated_at": "last cursor paired"}
+    parts = ["SELECT 'accounting identity' AS rule, CAST(1 AS BIGINT) AS violations"]
+    for table, (twice, broken) in PLANTED.items():
+        for columns in keys[table]:
+            parts.append(f"SELECT 'unique {table}({columns})', count(*) FROM keys WHERE k % {twice} = 0")
+        for column, m in broken.items():
+            if column in links:
+                parts.append(f"SELECT 'reference {table}.{column}', count(*) FROM keys WHERE k % {m} = 0")
+            else:
+                rule = paired.get(column, column)
+                parts.append(
+                    f"SELECT 'check {table}.{rule}', count(*) FILTER (WHERE k % {m} = 0) + count(*) FILTER (WHERE k % {m} = 0 AND k % {twice} = 0) FROM keys"
+                )
+    return "WITH keys AS (SELECT o_orderkey + 1 AS k FROM orders) " + " UNION ALL ".join(parts)
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "load_seed": f"""WITH {_SEEDED}
@@ -517,6 +543,7 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT 'event_rejections', count(*) FROM ledger WHERE disposition = 'rejected'
             UNION ALL SELECT 'orders_current', count(*) FROM present
             UNION ALL SELECT 'processed_events', count(*) FROM processed""",
+        "planted_violations": _planted(),
         "sync_runs": f"""WITH {_THREE_RUNS}
             SELECT run, CASE WHEN run = 1 THEN 'initial' ELSE 'incremental' END AS mode,
                    CASE WHEN run = 3 THEN 'completed' ELSE 'failed' END AS status,

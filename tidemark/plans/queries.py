@@ -559,6 +559,61 @@ def capture_constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Which orders break which rule: every so manieth key. A table's rows with keys of its first number occur twice.
+PLANTED = {
+    "event_deliveries": (50, {"disposition": 41}),
+    "processed_events": (51, {"source_version": 42, "first_delivery_id": 61}),
+    "orders_current": (52, {"source_version": 43, "total_price": 44, "last_event_id": 62}),
+    "event_rejections": (53, {"delivery_id": 63}),
+    "sync_runs": (54, {"mode": 45, "status": 46, "high_watermark_order_key": 47}),
+    "sync_batches": (55, {
+        "batch_sequence": 48, "status": 49, "to_order_key": 71, "records_seen": 72, "records_published": 73,
+        "from_order_key": 74, "run_id": 64,
+    }),
+    "sync_state": (56, {"last_order_key": 75, "last_updated_at": 76, "last_completed_batch_id": 65}),
+    "source_entity_versions": (57, {"source_version": 77}),
+    "source_quarantine": (58, {"batch_id": 66}),
+}
+
+
+@query
+def planted_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Every integrity rule of all nine tables, on tables in which some orders break it."""
+    k = F.col("k")
+    rows = fixture.sample_tables(spark, sf)[0].select(F.col("o_orderkey").alias("k"))
+    text, zero, none = k.cast("string"), F.lit(0).cast("bigint"), F.concat(F.lit("none "), k.cast("string"))
+    at = F.lit(T0).cast("timestamp")
+    right = {
+        "event_deliveries": {"delivery_id": text, "disposition": F.lit("accepted")},
+        "processed_events": {"event_id": text, "source": F.lit("s"), "entity_key": text, "source_version": k, "first_delivery_id": text},
+        "orders_current": {"source": F.lit("s"), "entity_key": text, "source_version": k, "total_price": k, "last_event_id": text},
+        "event_rejections": {"delivery_id": text},
+        "sync_runs": {"run_id": text, "mode": F.lit("initial"), "status": F.lit("completed"), "high_watermark_order_key": k},
+        "sync_batches": {
+            "batch_id": text, "run_id": text, "batch_sequence": k, "status": F.lit("published"), "to_order_key": k,
+            "records_seen": k, "records_published": k, "from_updated_at": at, "from_order_key": k,
+        },
+        "sync_state": {"source": text, "last_order_key": k, "last_updated_at": at, "last_completed_batch_id": text},
+        "source_entity_versions": {"source": F.lit("s"), "entity_key": text, "source_version": k},
+        "source_quarantine": {"source": F.lit("s"), "source_updated_at": at, "order_key": k, "batch_id": text},
+    }
+    wrong = {
+        "disposition": F.lit("odd"), "mode": F.lit("odd"), "status": F.lit("odd"), "source_version": zero,
+        "batch_sequence": zero, "to_order_key": zero, "high_watermark_order_key": zero, "total_price": zero - 1,
+        "records_seen": zero - 1, "records_published": zero - 1, "last_order_key": zero,
+        "from_order_key": F.lit(None).cast("bigint"), "last_updated_at": F.lit(None).cast("timestamp"),
+    }
+    tables = {}
+    for name, columns in right.items():
+        twice, broken = PLANTED[name]
+        values = [
+            (F.when(k % broken[c] == 0, wrong.get(c, none)).otherwise(value) if c in broken else value).alias(c) for c, value in columns.items()
+        ]
+        tables[name] = rows.unionAll(rows.filter(k % twice == 0)).select(*values)
+    # A child that refers to nothing in one table is still a key of its own there.
+    return checks.check_constraints(tables)
+
+
 @query
 def ledger_losses(spark: SparkSession, sf: str) -> DataFrame:
     """Append-only check against a later ledger that lost some rows and had others changed."""
