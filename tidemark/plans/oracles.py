@@ -544,6 +544,16 @@ def all_oracles() -> dict[str, str]:
             UNION ALL SELECT 'orders_current', count(*) FROM present
             UNION ALL SELECT 'processed_events', count(*) FROM processed""",
         "planted_violations": _planted(),
+        # Delivered once and in order, every valid row is accepted.
+        "stats": f"""WITH {_JOURNAL},
+            valid AS (SELECT * FROM journal WHERE {_IS_VALID}),
+            counted AS (SELECT '' AS prefix, count(*) AS n FROM valid
+                        UNION ALL SELECT event_type || ' ', count(*) FROM valid GROUP BY event_type)
+            SELECT prefix || name AS measure, CASE WHEN name IN ('deliveries', 'unique_events', 'accepted') THEN n ELSE 0 END AS value
+            FROM counted, (VALUES ('deliveries'), ('unique_events'), ('accepted'), ('stale'), ('duplicates'), ('rejected')) v(name)
+            UNION ALL SELECT 'adapter_rejected_records', (SELECT count(*) FROM journal) - (SELECT count(*) FROM valid)
+            UNION ALL SELECT 'sample_count', count(*) FROM valid
+            UNION ALL SELECT '{SOURCE} last_order_key', max_by(order_key, (source_updated_at, order_key)) FROM journal""",
         "sync_runs": f"""WITH {_THREE_RUNS}
             SELECT run, CASE WHEN run = 1 THEN 'initial' ELSE 'incremental' END AS mode,
                    CASE WHEN run = 3 THEN 'completed' ELSE 'failed' END AS status,

@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -637,6 +637,27 @@ def table_census(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.census().select("table_name", "row_count")
 
 
+@query
+def stats(spark: SparkSession, sf: str) -> DataFrame:
+    """All statistics of a pipeline that captured the journal and classified it once, as (measure, value)."""
+    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
+    pipeline.sync(fixture.journal(spark, sf), fixture.SOURCE)
+    pipeline.materialize(pipeline.wire(), "first")
+    found = pipeline.stats()
+
+    def listed(rows: DataFrame, prefix: Column, names: list[str]) -> DataFrame:
+        pairs = F.array(*(F.struct(F.concat(prefix, F.lit(name)).alias("measure"), F.col(name).cast("bigint").alias("value")) for name in names))
+        return rows.select(F.inline(pairs))
+
+    return (
+        listed(found.counts, F.lit(""), list(inspect.COUNTS))
+        .unionByName(listed(found.counts_by_type, F.concat("event_type", F.lit(" ")), list(inspect.COUNTS)))
+        .unionByName(listed(found.adapter_rejected_records, F.lit(""), ["adapter_rejected_records"]))
+        .unionByName(listed(found.processing_delay, F.lit(""), ["sample_count"]))
+        .unionByName(listed(found.watermarks, F.concat("source", F.lit(" ")), ["last_order_key"]))
+    )
+
+
 class _Killed(BaseException):
     """Ends a worker without giving it the chance to report."""
 
