@@ -166,7 +166,7 @@ def near_duplicates(
     good = rows.filter("usable").select("id", F.transform("vector", lambda x: x + 0.0).alias("vector"))
     single = materialized(good.groupBy("vector").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     edges = None
-    lengths = [r["n"] for r in single.select(F.size("vector").alias("n")).distinct().limit(100).collect()]
+    lengths = [r["n"] for r in single.select(F.size("vector").alias("n")).distinct().collect()]
     for n in lengths:  # embeddings of one model have one length
         part = single.filter(F.size("vector") == n)
         found = _links(part, least, sample, block)
