@@ -37,7 +37,7 @@ BLOCK_SETS = 512
 BLOCK_SHINGLES = 1_000_000
 LEAF = 192
 PIVOTS = 4
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 
@@ -46,9 +46,11 @@ def spare_of(n: np.ndarray, percent: int) -> np.ndarray:
     return n * (100 - percent) // 100
 
 
-def counted_below(percent: int) -> np.uint64:
-    """Shingles with hashes below are counted: twice the share that a linked set may lack."""
-    return np.uint64(min((1 << 64) - 1, (1 << 64) * 2 * (100 - percent) // 100))
+def counted_below(size: int, percent: int) -> np.uint64:
+    """Shingles with hashes below are counted: twice the share that a linked set may lack, or, as long shingles are
+    rare anyway, one and a half times. The share decides how selective regions are, not what they find."""
+    times = 150 if size >= 5 else 200
+    return np.uint64(min((1 << 64) - 1, (1 << 64) * times * (100 - percent) // 10_000))
 
 
 _BREAK = np.zeros(256, bool)
@@ -117,7 +119,7 @@ def _profile(size: int):
 
 def _rare(size: int, percent: int):
     """(shingle, set id, set size, counted shingles of the set): the counted ones, filled up to a window's length."""
-    limit = counted_below(percent)
+    limit = counted_below(size, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,9 +185,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give(held, min(size, MANY))
 
 
-def _windows(percent: int):
+def _windows(size: int, percent: int):
     """Rows sorted by (key, many, shingle): those in the window of the set's nearest pivots, with their place there."""
-    limit = counted_below(percent)
+    limit = counted_below(size, percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs_of(batches, "key"):
@@ -395,7 +397,7 @@ def jaccard_groups(documents: DataFrame, id_column: str = "doc_id", text_column:
 
     rare = bodies.select("body").mapInArrow(_rare(size, percent), "shingle long, key long, n int, counted int")
     shared = rare.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(_counted, "shingle long, key long, n int, counted int, many int")
-    regions = shared.repartition("key").sortWithinPartitions("key", "many", "shingle").mapInArrow(_windows(percent), "shingle long, key long, n int, place int")
+    regions = shared.repartition("key").sortWithinPartitions("key", "many", "shingle").mapInArrow(_windows(size, percent), "shingle long, key long, n int, place int")
     chained = regions.repartition("shingle").sortWithinPartitions("shingle", "key").mapInArrow(_families(percent), "a long, b long")
     families = components(chained).select(F.col("node").alias("key"), F.col("root").alias("family"))
 

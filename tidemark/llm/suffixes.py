@@ -35,7 +35,7 @@ LENGTH = 200
 WIDTH = 101  # starts of windows among which a minimiser is chosen
 KMER = 16
 LARGE = 65_536
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 POSITION_BITS = 24
 
 MARK, TUPLE, WINDOW, SPARE = 0, 1, 2, 3
