@@ -114,6 +114,27 @@ def test_op8_large_buckets_and_families_in_blocks(spark):
     assert all(got[i]["component_id"] == 0 and got[i]["n_links"] == 119 for i in range(120))
 
 
+def cosine_links(unit):
+    linked = unit @ unit.T >= 0.9
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def test_op8_near_copies_inside_topic_clusters(spark):
+    chosen = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    topics = np.repeat(unit(chosen.normal(size=(6, 64))), 80, axis=0)
+    members = unit(topics * 0.89 + unit(chosen.normal(size=topics.shape)) * 0.456)  # cosines of about 0.8 in a topic
+    copies = unit(members + unit(chosen.normal(size=members.shape)) * 0.2)
+    rows = np.concatenate([members, copies])
+    linked = cosine_links(rows)
+    assert linked.sum() < 4 * len(rows)
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    for block in (embeddings.BLOCK, 64):
+        n = sum(r["n_links"] for r in embeddings.near_duplicates(frame, block=block).collect())
+        assert 0.98 * linked.sum() <= n <= linked.sum()
+
+
 @pytest.mark.parametrize("length,width,large", [(200, 101, 65_536), (40, 20, 65_536), (200, 101, 2), (40, 20, 1)])
 def test_op9_repeats(spark, length, width, large):
     frame, rows = h.documents(spark)

@@ -4,9 +4,10 @@
   signs of the rotated components lose as little as possible. They are a vector's code of up to 64 bits.
 * A code is cut into chunks; for each chunk and each of its bits there is a table keyed by the chunk without that bit.
   Two codes that differ in at most one bit of any chunk share a bucket, so all pairs within a Hamming distance of
-  2 * chunks - 1 meet. Within a bucket, pairs whose whole codes are close are linked by a spanning forest.
-* Those edges are checked with the original vectors in double precision; the components of the true links are families.
-  All vectors of a family are compared with each other, in blocks, which counts every link once.
+  2 * chunks - 1 meet. Within a bucket, rows whose whole codes are close to another one fetch their vectors.
+* All of those in a bucket are compared in double precision. Only then a spanning forest of the true links leaves the
+  task; its components are families. All vectors of a family are compared with each other, in blocks, which counts
+  every link once.
 
 Equal vectors are one row until the end, so a vector that is repeated very often costs nothing. The search is
 approximate in the usual sense of Hamming retrieval; tests measure its recall. No bucket or family is cut short: large
@@ -88,28 +89,56 @@ def _tables(shared, chunk_bits: int):
 
 
 def _near(near_bits: int, block: int):
-    """Rows sorted by bucket: a spanning forest of the pairs with close codes, block against block in large buckets."""
+    """Rows sorted by tile: those whose code is close to another one of their tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs_of(batches, "key", 4 * block):
-            key, code, ids = (rows.column(c).to_numpy() for c in ("key", "code", "id"))
+        for rows in runs_of(batches, "tile", 4 * block):
+            tile, code, second = rows.column("tile").to_numpy(), rows.column("code").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
             code = code.view(np.uint64)
-            begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-            ends = np.r_[begins[1:], len(key)]
+            begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
+            lengths = np.diff(np.r_[begins, len(tile)])
+            keep = np.zeros(len(tile), bool)
+            two = begins[lengths == 2]
+            two = two[np.bitwise_count(code[two] ^ code[two + 1]) <= near_bits]
+            keep[two] = keep[two + 1] = True
+            for a, n in zip(begins[lengths > 2], lengths[lengths > 2]):
+                which = second[a : a + n]
+                close = np.bitwise_count(code[a : a + n, None] ^ code[None, a : a + n]) <= near_bits
+                if which.any():  # two blocks: each is compared with itself in a tile of its own
+                    close &= which[:, None] != which[None, :]
+                else:
+                    np.fill_diagonal(close, False)
+                keep[a : a + n] = close.any(axis=1)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([rows.column(c).combine_chunks().filter(pa.array(keep)) for c in ("tile", "second", "id")], ["tile", "second", "id"])
+
+    return run
+
+
+def _linked(least: float):
+    """Rows sorted by tile, vectors of one block or of two: edges that span all links of the tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs_of(batches, "tile", 2048):
+            tile, second = rows.column("tile").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
+            ids = rows.column("id").to_numpy()
+            vectors = _matrix(rows.column("vector"))
+            vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
             left, right = [], []
-            for a, b in zip(begins, ends):
-                if b - a == 1:
-                    continue
-                if b - a == 2:
-                    if int(code[a] ^ code[a + 1]).bit_count() <= near_bits:
-                        left.append(ids[a : a + 1])
-                        right.append(ids[a + 1 : b])
-                    continue
-                x, y = _forest(np.bitwise_count(code[a:b, None] ^ code[None, a:b]) <= near_bits)
+            for a, b in zip(begins, np.r_[begins[1:], len(tile)]):
+                which = second[a:b]
+                if not which.any():
+                    near = vectors[a:b] @ vectors[a:b].T >= least
+                else:
+                    one, two = np.flatnonzero(~which), np.flatnonzero(which)
+                    near = np.zeros((b - a, b - a), bool)
+                    near[np.ix_(one, two)] = vectors[a + one] @ vectors[a + two].T >= least
+                    near |= near.T
+                x, y = _forest(near)
                 left.append(ids[a + x])
                 right.append(ids[a + y])
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (left, right)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in (left, right)], ["a", "b"])
 
     return run
 
@@ -204,11 +233,8 @@ def _links(single: DataFrame, least: float, sample: int, block: int) -> DataFram
     coded = single.select(F.col("rep").alias("id"), "vector").mapInArrow(_tables(shared, CHUNK_BITS), "key long, code long, id long")
     # Very large buckets are dealt out in blocks.
     sizes = coded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    tiles = in_blocks(coded.join(sizes, "key"), "key", "size", block).select(F.col("tile").alias("key"), "code", "id")
-    close = tiles.repartition("key").sortWithinPartitions("key").mapInArrow(_near(int(NEAR_BITS * bits), block), "a long, b long")
-    pairs = close.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    one = single.select(F.col("rep").alias("a"), F.col("vector").alias("x"))
-    two = single.select(F.col("rep").alias("b"), F.col("vector").alias("y"))
-    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    cosine = dot("x", "y") / (F.sqrt(dot("x", "x")) * F.sqrt(dot("y", "y")))
-    return pairs.join(one, "a").join(two, "b").filter(cosine >= least).select("a", "b")
+    tiles = in_blocks(coded.join(sizes, "key"), "key", "size", block).select("tile", "second", "code", "id")
+    close = tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(_near(int(NEAR_BITS * bits), block), "tile long, second boolean, id long")
+    # Only rows with a close code in their tile fetch their vectors.
+    fetched = close.join(single.select(F.col("rep").alias("id"), "vector"), "id").select("tile", "second", "id", "vector")
+    return fetched.repartition("tile").sortWithinPartitions("tile").mapInArrow(_linked(least), "a long, b long")
