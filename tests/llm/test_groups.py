@@ -135,6 +135,47 @@ def test_op8_near_copies_inside_topic_clusters(spark):
         assert 0.98 * linked.sum() <= n <= linked.sum()
 
 
+def hard_vectors(n=1200):
+    """Isotropic, clustered, shared-mean and low-dimensional vectors, each with a partner at a cosine of 0.90 to 0.95."""
+    chosen = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    draw = lambda d: unit(chosen.normal(size=(n, d)))
+    kinds = {
+        "isotropic": draw(64),
+        "clustered": unit(np.repeat(draw(63)[:20], n // 20, axis=0) * 0.85 + draw(63) * 0.53),
+        "shared mean": unit(np.sqrt(0.8) * draw(62)[:1] + np.sqrt(0.2) * draw(62)),
+        "few components": draw(16),
+    }
+    for name, x in kinds.items():
+        away = draw(x.shape[1])
+        away = unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+        cosine = chosen.uniform(0.9, 0.95, size=(n, 1))
+        kinds[name] = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * away])
+    return kinds
+
+
+@pytest.mark.parametrize("kind", ["isotropic", "clustered", "shared mean", "few components"])
+def test_op8_recall_near_the_threshold(spark, kind):
+    x = hard_vectors()[kind]
+    frame = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found, true = sum(r["n_links"] for r in embeddings.near_duplicates(frame).collect()), cosine_links(x).sum()
+    assert 0.9 * true <= found <= true
+
+
+@pytest.mark.parametrize("kind", ["isotropic", "clustered", "few components"])
+def test_op8_tables_reach_the_recall(kind):
+    x = hard_vectors()[kind]
+    plan = embeddings.Plan(x, 0.9, 50_000)
+    assert 0 < plan.tables <= embeddings.MOST_TABLES
+    chunks = plan.projections[0].shape[1] // plan.width
+    codes = [embeddings.codes_of(x, plan.mean, p) for p in plan.projections]
+    half = len(x) // 2
+    apart = [c[:half] ^ c[half:] for c in codes]
+    met = np.any([apart[t // chunks] & embeddings.chunk_mask(t % chunks, plan.width) == 0 for t in range(plan.tables)], axis=0)
+    near = sum(np.bitwise_count(a).astype(int) for a in apart[: plan.sketches]) <= plan.radius
+    assert (met & near).mean() >= 0.9
+
+
 @pytest.mark.parametrize("length,width,large", [(200, 101, 65_536), (40, 20, 65_536), (200, 101, 2), (40, 20, 1)])
 def test_op9_repeats(spark, length, width, large):
     frame, rows = h.documents(spark)
