@@ -31,11 +31,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a Jaccard similarity of 0.8 over 5-word shingles, the smallest id stays.
 
-    Documents without words are in no group and stay, as do those without an id; repeated rows become one.
+    Documents without words are in no group and stay; repeated rows become one. Rows are told apart by id and text, so
+    rows that share an id, or have none, are grouped each for itself; a row with an id stays rather than one without.
     """
-    groups = jaccard.jaccard_groups(docs.select("doc_id", "text"), size=5, percent=80)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    key = F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull()).alias("key")
+    groups = jaccard.jaccard_groups(docs.select(key, "text"), id_column="key", size=5, percent=80).select("key", "component_id").distinct()
+    # Only rows of components of two or more are looked at again.
+    linked = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component_id")
+    ids = docs.select(key, "doc_id").distinct()
+    members = groups.join(linked, "component_id").join(ids, "key").select("component_id", "key", "doc_id")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("stays"))
+    gone = members.join(first, "component_id").filter("key <> stays").select("key")
+    return docs.select(*COLUMNS, key).join(gone, "key", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

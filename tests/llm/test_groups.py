@@ -259,6 +259,17 @@ def test_op3_without_labels_or_rows(spark):
     assert toxicity.score_documents(docs.limit(0), labels).collect() == []
 
 
+def test_pipeline_near_copies_of_rows_that_share_an_id_or_have_none(spark):
+    a, b, c = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(1, a), (7, a + " x"), (7, "clean " + b), (8, c + " y"), (8, c + " z"), (None, a + " n"), (None, "other text"), (None, ""), (None, None), (9, ""), (3, "x"), (3, "x")]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, frame, "").collect()]
+    eight = [r for r in got if r[0] == 8]
+    assert len(eight) == 1 and eight[0] in rows
+    expected = [(1, a), (7, "clean " + b), (None, "other text"), (None, ""), (None, None), (9, ""), (3, "x")]
+    assert Counter(r for r in got if r[0] != 8) == Counter(expected)
+
+
 def test_pipeline_stages_take_effect(spark, folder):
     docs, labels = toxic_corpus(spark)
     labels.withColumn("quality", F.lit(1)).write.parquet(f"{folder}/labels.parquet")
