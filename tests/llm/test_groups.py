@@ -195,6 +195,17 @@ def test_op9_repeats(spark, length, width, large):
         assert all(a["end"] < b["start"] for a, b in zip(r["removed"], r["removed"][1:]))
 
 
+def test_op9_texts_without_id_of_equal_hash(spark):
+    text = F.concat(*(F.sha2(F.concat_ws(":", "id", F.lit(i)), 256) for i in range(5)))
+    texts = spark.range(300_000).select(text.alias("text"), F.hash(text).alias("h"))
+    same = texts.groupBy("h").agg(F.sort_array(F.collect_list("text")).alias("texts")).filter("size(texts) = 2").orderBy("h").first()["texts"]
+    frame = spark.createDataFrame([(None, same[0]), (None, same[1]), (1, same[0][:250])], "doc_id long, text string")
+    left = [same[0][250:], same[1], ""]
+    assert Counter(r["text"] for r in suffixes.without_repeats(frame).collect()) == Counter(left)
+    got = suffixes.remove_repeats(frame).collect()
+    assert Counter((r["doc_id"], r["kept"].decode()) for r in got) == Counter(zip([-1, -1, 1], left))
+
+
 def test_op9_empty_table_and_whole_characters(spark):
     frame, _ = h.documents(spark)
     assert suffixes.remove_repeats(frame.limit(0)).collect() == []

@@ -70,8 +70,8 @@ def picked(data: np.ndarray, ends: np.ndarray, length: int, width: int) -> tuple
 
 
 _TUPLE_NAMES = ["kind", "name", "reach", "id", "check", "place", "most", "least"]
-_TUPLE_TYPES = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int16(), pa.int16()]
-_TUPLE_SCHEMA = "kind byte, name long, reach long, id long, check int, place int, most short, least short"
+_TUPLE_TYPES = [pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int16()]
+_TUPLE_SCHEMA = "kind byte, name long, reach long, id long, check long, place int, most short, least short"
 # A picked suffix with windows from place - most to place - least. MARK: they are known to be repeated; SPARE: the same,
 # and an equal one stands for it; WINDOW: one window, named by two hashes of its bytes.
 
@@ -178,7 +178,7 @@ def _contexts(length: int, width: int):
                 right = pa.FixedSizeBinaryArray.from_buffers(pa.binary(length), len(place), [None, pa.py_buffer(np.ascontiguousarray(spans[:, width - 1 :]))])
                 n = len(place)
                 yield pa.RecordBatch.from_arrays(
-                    [tuples.field("name"), right.cast(pa.binary()), left.cast(pa.binary()), pa.array(np.full(n, batch.column("id")[i].as_py())), pa.array(np.full(n, batch.column("check")[i].as_py(), np.int32)), *(tuples.field(c) for c in names[5:])],
+                    [tuples.field("name"), right.cast(pa.binary()), left.cast(pa.binary()), pa.array(np.full(n, batch.column("id")[i].as_py())), pa.array(np.full(n, batch.column("check")[i].as_py(), np.int64)), *(tuples.field(c) for c in names[5:])],
                     names,
                 )
 
@@ -319,7 +319,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, width: int = WIDT
     here = F.struct("name", "place", "most", "least")
     asked = met.filter(F.col("kind") == TUPLE).groupBy("id", "check").agg(F.collect_list(here).alias("tuples"))
     around = documents.join(asked, ["id", "check"]).select("id", "check", "body", "tuples").mapInArrow(
-        _contexts(length, width), "name long, right binary, left binary, id long, check int, place int, most short, least short"
+        _contexts(length, width), "name long, right binary, left binary, id long, check long, place int, most short, least short"
     )
     sorted_by_suffix = around.repartition("name").sortWithinPartitions("name", "right")
     found = sorted_by_suffix.mapInArrow(_induce(length, width, large), _TUPLE_SCHEMA)
@@ -363,7 +363,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bodies(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, check, body): a null id is -1 here; ``check`` tells rows of one id with different texts apart."""
     body = whole_text(text_column)
-    return documents.select(F.coalesce(F.col(id_column).cast("long"), F.lit(-1)).alias("id"), F.hash(body).alias("check"), body.alias("body"))
+    return documents.select(F.coalesce(F.col(id_column).cast("long"), F.lit(-1)).alias("id"), F.xxhash64(body).alias("check"), body.alias("body"))
 
 
 def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH) -> DataFrame:
@@ -410,7 +410,7 @@ def without_repeats(documents: DataFrame, id_column: str = "doc_id", text_column
     """
     body = whole_text(f"`{text_column}`")
     own = F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("own")
-    keyed = documents.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-1)).alias("id"), F.hash(body).alias("check"), body.alias("body"), own)
+    keyed = documents.select(F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-1)).alias("id"), F.xxhash64(body).alias("check"), body.alias("body"), own)
     spans = repeated_spans(keyed.select("id", "check", "body"), length).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     cut = keyed.join(spans, ["id", "check"], "left").select("own", "body", "spans")
     # The text itself need not travel twice.
