@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, pii, suffixes, toxicity, urls
+from tidemark.llm import bpe, embeddings, fingerprints, infill, jaccard, licenses, packing, pii, suffixes, toxicity, urls
 from tidemark.llm.common import table
 
 
@@ -82,6 +82,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transform every document for infilling, and rebuild it."""
+    return infill.digests(infill.pieces(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -95,7 +100,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embedding_near_dedup,
         op9_suffix_array_dedup,
         op10_pii,
+        op12_fill_in_middle,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_fill_in_middle": """
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS body, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+                CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS c, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS d
+            FROM cut
+        ), shaped AS (
+            SELECT *, CASE
+                    WHEN n = 0 OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR c >= 90 THEN 'plain'
+                    WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form,
+                substr(body, 1, least(a, b)) AS prefix,
+                substr(body, least(a, b) + 1, greatest(a, b) - least(a, b)) AS middle,
+                substr(body, greatest(a, b) + 1) AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN greatest(a, b) - least(a, b) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+            sha256(body) AS restored_sha256
+        FROM shaped
+    """,
+}
