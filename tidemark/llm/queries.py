@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, fingerprints, infill, jaccard, licenses, packing, pii, suffixes, toxicity, urls
+from tidemark.llm import bpe, embeddings, fingerprints, infill, jaccard, licenses, packing, pii, suffixes, toxicity, trie, urls
 from tidemark.llm.common import table
 
 
@@ -87,6 +87,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(infill.pieces(table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    nodes = trie.prefix_trie(table(spark, sf_dir, "conversations"))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_suffix_array_dedup,
         op10_pii,
         op12_fill_in_middle,
+        op13_conversation_trie,
     )
 }
 
@@ -130,4 +137,41 @@ ORACLES: dict[str, str] = {
             sha256(body) AS restored_sha256
         FROM shaped
     """,
+    "op13_conversation_trie": """
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), listed AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS own FROM turns GROUP BY conv_id
+        ), begun AS (
+            SELECT *, xor(list_reduce(
+                    list_transform(range(1, length(CAST(conv_id AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(conv_id AS VARCHAR), i, 1)) AS BIGINT)),
+                    lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+                    CAST(4294967295 AS BIGINT)
+                ), 4294967295) % 9 AS h
+            FROM listed
+        ), rebuilt AS (
+            SELECT c.conv_id, coalesce(b.own, [])[1:c.h] || c.own[c.h + 1:] AS path
+            FROM begun c LEFT JOIN begun b ON b.conv_id = c.conv_id - c.conv_id % 5
+        ), prefixes AS (
+            SELECT conv_id, path[1:d] AS path, d AS depth, len(path) AS total FROM rebuilt, unnest(range(0, len(path) + 1)) AS u(d)
+        ), nodes AS (
+            SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = total), '')) AS ends_sha256
+            FROM prefixes GROUP BY path, depth
+        ), children AS (
+            SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2
+        ), counted AS (
+            SELECT n.*, coalesce(c.n_children, 0) AS n_children,
+                CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * strlen(n.path[n.depth].text) ELSE 0 END AS saved
+            FROM nodes n LEFT JOIN children c ON c.path = n.path AND c.depth = n.depth
+        ), sums AS (
+            SELECT path[1:d] AS path, d AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM counted, unnest(range(0, depth + 1)) AS u(d) GROUP BY 1, 2
+        )
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+        FROM counted n JOIN sums s ON s.path = n.path AND s.depth = n.depth
+            LEFT JOIN nodes p ON p.path = n.path[1:n.depth - 1] AND p.depth = n.depth - 1
+    """,
 }
