@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embeddings, fingerprints, infill, jaccard, licenses, packing, pii, suffixes, toxicity, trie, urls
+from tidemark.llm import bpe, embeddings, fingerprints, infill, jaccard, licenses, lm, packing, pii, suffixes, toxicity, trie, urls
 from tidemark.llm.common import table
 
 
@@ -82,6 +82,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by an attention model learned from the training texts, and by shares of words."""
+    return lm.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transform every document for infilling, and rebuild it."""
     return infill.digests(infill.pieces(table(spark, sf_dir, "documents")))
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_embedding_near_dedup,
         op9_suffix_array_dedup,
         op10_pii,
+        op11_lm_scoring,
         op12_fill_in_middle,
         op13_conversation_trie,
     )
