@@ -5,14 +5,14 @@ from __future__ import annotations
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import entity_key, raw_record, stable_event_id, uuid_text
 from tidemark.functions.validation import errors_text, journal_errors
-from tidemark.operators.numbering import sort_and_number
-from tidemark.schemas import ENVELOPE, PAYLOAD_FIELDS
+from tidemark.operators.numbering import number_staged, sort_and_number
+from tidemark.schemas import ENVELOPE, JOURNAL, PAYLOAD_FIELDS
 
 CURSOR = ("source_updated_at", "order_key")
 BATCH_SIZE = 500
@@ -37,6 +37,9 @@ class Cursor(NamedTuple):
         return self > other
 
 
+UNPLACED = "the journal holds a row without a time or a key"
+
+
 class CaptureError(RuntimeError):
     """The journal broke a rule that capture depends on; the checkpoint stays where it was."""
 
@@ -88,26 +91,70 @@ def assert_no_regression(after: Cursor | None, high: Cursor | None) -> None:
         raise CaptureError("the journal regressed: it ends before the checkpoint")
 
 
-def assert_placed(journal: DataFrame) -> None:
-    """A row without a time or key has no place in the order: it would be passed over for good, so capture stops."""
-    if not journal.filter(F.col(CURSOR[0]).isNull() | F.col(CURSOR[1]).isNull()).isEmpty():
-        raise CaptureError("the journal holds a row without a time or a key")
+class Frontier(NamedTuple):
+    """Where a journal ends, and how many rows have no place in it."""
+
+    high: Cursor | None
+    unplaced: int
+
+
+def frontier(journal: DataFrame, after: Cursor | None) -> Frontier:
+    """One scan of the cursor columns. Only what is not older than the checkpoint can hold the high watermark; a row
+    without a time or key would be passed over for good, so those are looked for everywhere."""
+    at, key = F.col(CURSOR[0]), F.col(CURSOR[1])
+    lost = at.isNull() | key.isNull()
+    recent = journal if after is None else journal.filter((at >= at_literal(after.source_updated_at)) | lost)
+    found = recent.agg(F.max(F.when(~lost, F.struct(*CURSOR))).alias("high"), F.count_if(lost).alias("lost"))
+    row = found.select(F.unix_micros("high.source_updated_at"), "high.order_key", "lost").first()
+    return Frontier(None if row[0] is None else Cursor(utc(row[0]), row[1]), row[2])
 
 
-def assert_in_range(pages: DataFrame, after: Cursor | None, high: Cursor) -> None:
-    """All rows lie in ``(after, high]`` and, in the order of their numbers, strictly ascend across chunks.
+def read_journal(spark: SparkSession, path: str) -> DataFrame:
+    """The change journal, whatever the case of its column names."""
+    return spark.read.schema(JOURNAL).parquet(path).select(*JOURNAL_COLUMNS)
 
-    Inside a chunk the order is that of the sort; only the ends of chunks are compared.
+
+def order_faults(staged: DataFrame, after: Cursor | None, high: Cursor) -> DataFrame:
+    """Each row of a staged range against the one before it, as one row of counts.
+
+    ``disordered`` rows come after a greater cursor, ``repeated`` ones after an equal one, ``invalid`` ones have a key that
+    is not positive, ``outside`` ones lie beyond ``(after, high]``; ``unsafe_at`` and ``unsafe_key`` are the lowest cursor
+    that is repeated or invalid. Inside a chunk the row before is found by ``lag``; the first row of a chunk is compared
+    with the last one of the chunk before. Only the cursor columns are read.
     """
     cursor = F.struct(*CURSOR)
-    ends = pages.groupBy("chunk").agg(F.min(cursor).alias("low"), F.max(cursor).alias("top"))
-    before = W.orderBy("chunk")  # one row for each chunk
-    wrong = F.col("low") <= F.lag("top").over(before)
-    outside = ~after_cursor(after) | ~up_to(high)
-    if not ends.withColumn("_wrong", wrong).filter("_wrong").isEmpty():
-        raise CaptureError("the journal's order broke between two chunks")
-    if not pages.filter(outside).isEmpty():
-        raise CaptureError("a row lies outside the captured range")
+    narrow = staged.select("chunk", "row", *CURSOR)
+    inside = W.partitionBy("chunk").orderBy("row")
+    ends = narrow.groupBy("chunk").agg(F.max_by(cursor, "row").alias("_last"))
+    # One row per chunk.
+    edges = ends.select(F.lead("chunk").over(W.orderBy("chunk")).alias("chunk"), F.col("_last").alias("_edge")).filter("chunk is not null")
+    rows = narrow.withColumn("_lag", F.lag(cursor).over(inside)).join(F.broadcast(edges), "chunk", "left")
+    before = F.coalesce("_lag", "_edge")
+    rows = rows.select(cursor.alias("c"), before.alias("b"), (~after_cursor(after) | ~up_to(high)).alias("outside"))
+    repeated, invalid = F.col("c") == F.col("b"), F.col(f"c.{CURSOR[1]}") <= 0
+    unsafe = F.min(F.when(repeated | invalid, F.col("c")))
+    return rows.agg(
+        F.count_if(F.col("c") < F.col("b")).alias("disordered"),
+        F.count_if(repeated).alias("repeated"),
+        F.count_if(invalid).alias("invalid"),
+        F.count_if("outside").alias("outside"),
+        unsafe.alias("_unsafe"),
+    ).select(
+        "disordered", "repeated", "invalid", "outside",
+        F.col(f"_unsafe.{CURSOR[0]}").alias("unsafe_at"), F.col(f"_unsafe.{CURSOR[1]}").alias("unsafe_key"),
+    )
+
+
+def assert_ordered(staged: DataFrame, after: Cursor | None, high: Cursor) -> tuple[datetime, int] | None:
+    """Stop if a staged range is not in order or leaves ``(after, high]``; else the lowest cursor that is repeated or whose
+    key is not positive. Capture must stop before that cursor's page."""
+    found = order_faults(staged, after, high)
+    row = found.select("disordered", "outside", F.unix_micros("unsafe_at").alias("at"), "unsafe_key").first()
+    if row["disordered"]:
+        raise CaptureError(f"the journal's order broke at {row['disordered']} rows")
+    if row["outside"]:
+        raise CaptureError(f"{row['outside']} rows lie outside the captured range")
+    return None if row["at"] is None else (utc(row["at"]), row["unsafe_key"])
 
 
 def journal_page(journal: DataFrame, after: Cursor | None, high: Cursor, limit: int) -> DataFrame:
@@ -120,18 +167,6 @@ def duplicate_cursors(journal: DataFrame) -> DataFrame:
     return journal.groupBy(*CURSOR).agg(F.count(F.lit(1)).alias("multiplicity")).filter("multiplicity > 1")
 
 
-def first_unsafe_cursor(part: DataFrame) -> tuple[datetime, int] | None:
-    """Lowest cursor that is repeated or whose key is not positive; capture must stop before its page."""
-    unsafe = (
-        part.groupBy(*CURSOR)
-        .agg(F.count(F.lit(1)).alias("multiplicity"))
-        .filter((F.col("multiplicity") > 1) | (F.col("order_key") <= 0))
-    )
-    lowest = unsafe.agg(F.min(F.struct(*CURSOR)).alias("low"))
-    found = lowest.select(F.unix_micros("low.source_updated_at"), "low.order_key").first()
-    return None if found[0] is None else (utc(found[0]), found[1])
-
-
 def journal_range(journal: DataFrame, after: Cursor | None, high: Cursor) -> DataFrame:
     """All rows of ``(after, high]``; both bounds are pushed down to the scan."""
     return journal.filter(after_cursor(after)).filter(up_to(high))
@@ -141,9 +176,16 @@ def plan_pages(part: DataFrame, batch_size: int = BATCH_SIZE) -> DataFrame:
     """Journal rows with ``number`` and ``batch_sequence`` (both from 1, in cursor order) and ``chunk``."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    return sort_and_number(part, "number", list(CURSOR)).withColumn(
-        "batch_sequence", F.floor((F.col("number") - 1) / batch_size).cast("bigint") + 1
-    )
+    return _paged(sort_and_number(part, "number", list(CURSOR)), batch_size)
+
+
+def _paged(numbered: DataFrame, batch_size: int) -> DataFrame:
+    return numbered.withColumn("batch_sequence", F.floor((F.col("number") - 1) / batch_size).cast("bigint") + 1)
+
+
+def staged_pages(staged: DataFrame, batch_size: int) -> DataFrame:
+    """``plan_pages`` of a range that ``stage_sorted`` wrote in cursor order."""
+    return _paged(number_staged(staged, "number"), batch_size)
 
 
 def _batch_id(source: str | Column, run_id: str) -> Column:
@@ -206,13 +248,17 @@ def quarantine(built: DataFrame, created_at: datetime) -> DataFrame:
     )
 
 
-def new_quarantine(candidates: DataFrame, existing: DataFrame) -> DataFrame:
-    """Insert-if-absent on (source, source_updated_at, order_key)."""
-    return candidates.join(existing.select("source", *CURSOR), ["source", *CURSOR], "left_anti")
+def new_quarantine(candidates: DataFrame, existing: DataFrame, source: str, after: Cursor | None, until: Cursor) -> DataFrame:
+    """Insert-if-absent on (source, source_updated_at, order_key).
+
+    The candidates lie in ``(after, until]``: the same bounds go down to the scan of what is there.
+    """
+    near = existing.filter((F.col("source") == source) & after_cursor(after)).filter(up_to(until))
+    return candidates.join(near.select("source", *CURSOR), ["source", *CURSOR], "left_anti")
 
 
-def batch_rows(built: DataFrame, run_id: str, after: Cursor | None) -> DataFrame:
-    """One row per page: cursor range and counts. ``from`` is the end of the page before."""
+def batch_rows(built: DataFrame, run_id: str, after: Cursor | None, first_page: int = 1) -> DataFrame:
+    """One row per page: cursor range and counts. ``from`` is the end of the page before; ``after`` that of the first."""
     cursor = F.struct(*CURSOR)
     pages = built.groupBy("source", "batch_id", "batch_sequence").agg(
         F.max(cursor).alias("_to"),
@@ -227,7 +273,7 @@ def batch_rows(built: DataFrame, run_id: str, after: Cursor | None) -> DataFrame
     )
     start_at = F.lit(None).cast("timestamp") if after is None else at_literal(after.source_updated_at)
     start_key = F.lit(None if after is None else after.order_key).cast("bigint")
-    first = F.col("batch_sequence") == 1
+    first = F.col("batch_sequence") == first_page
     return pages.join(previous, ["source", "batch_sequence"], "left").select(
         "batch_id",
         F.lit(run_id).alias("run_id"),
@@ -277,7 +323,9 @@ def capture(
     captured_at: datetime,
     batch_size: int = BATCH_SIZE,
 ) -> Capture:
-    """One frozen range of the journal as events, quarantine and page metadata (nothing is written)."""
+    """One frozen range of the journal as events, quarantine and page metadata (only scratch is written)."""
+    if frontier(journal, after).unplaced:
+        raise CaptureError(UNPLACED)
     pages = plan_pages(journal_range(journal, after, high), batch_size)
     built = build_events(pages, source, run_id, captured_at)
     return Capture(valid_events(built), quarantine(built, captured_at), batch_rows(built, run_id, after))

@@ -29,36 +29,56 @@ EVENT = (*ENTITY, "source_version")
 DISPOSITIONS = ("accepted", "stale", "duplicate", "rejected")
 
 
+class Span(NamedTuple):
+    """Offsets of a batch in one partition: ``low`` to ``high`` inclusive."""
+
+    topic: str
+    partition: int
+    low: int
+    high: int
+    count: int
+
+
 class Received(NamedTuple):
     """A batch of deliveries with receipt ids, and how many ids it spans."""
 
     rows: DataFrame
     count: int
     next_delivery_id: int
+    spans: tuple[Span, ...]
 
 
-def receive(wire: DataFrame, first_delivery_id: int = 1) -> Received:
+class Misplaced(ValueError):
+    """A message lies in another partition than its key's."""
+
+
+def receive(wire: DataFrame, first_delivery_id: int = 1, misplaced: Column | None = None) -> Received:
     """Assign increasing receipt ids in the order of (topic, partition, offset).
 
     An id is the offset moved by a constant per partition: no sort and no shuffle. Gaps in the offsets leave
-    gaps in the ids, which is allowed. The driver holds one row per topic partition.
+    gaps in the ids, which is allowed. The driver holds one row per topic partition. Rows for which ``misplaced`` is true
+    stop the batch; they are counted in the same pass.
     """
-    spans = sorted(
+    wrong = F.count_if(F.coalesce(misplaced, F.lit(False))) if misplaced is not None else F.lit(0)
+    found = (
         wire.groupBy("topic", "partition")
-        .agg(F.min("offset"), F.max("offset"), F.count(F.lit(1)))
+        .agg(F.min("offset"), F.max("offset"), F.count(F.lit(1)), wrong)
         .collect()
     )
+    if any(row[5] for row in found):
+        raise Misplaced(f"{sum(row[5] for row in found)} messages lie in another partition than their key's")
+    spans = tuple(sorted(Span(*row[:5]) for row in found))
     shifts, next_id = [], first_delivery_id
-    for topic, partition, low, high, _ in spans:
-        shifts.append((topic, partition, next_id - low))
-        next_id += high - low + 1
+    for span in spans:
+        shifts.append((span.topic, span.partition, next_id - span.low))
+        next_id += span.high - span.low + 1
     table = wire.sparkSession.createDataFrame(shifts, "topic string, partition int, _shift bigint")
     rows = (
         wire.join(F.broadcast(table), ["topic", "partition"])
         .withColumn("delivery_id", F.col("offset") + F.col("_shift"))
         .drop("_shift")
     )
-    return Received(rows, sum(span[4] for span in spans), next_id)
+    return Received(rows, sum(span.count for span in spans), next_id, spans)
 
 
 def hot_keys(wire: DataFrame, hot_rows: int) -> DataFrame:
@@ -93,7 +113,7 @@ def _registry_past(known: DataFrame, registry: DataFrame) -> DataFrame:
     One row per event that occurs again, and one per entity with its current (highest) version.
     """
     seen = registry.join(known.select(*EVENT).distinct(), list(EVENT), "left_semi").select(*EVENT, "content_hash")
-    # Aggregated first: an entity of very many versions sends one row per task.
+    # Aggregated first: an entity of very many versions sends one row per task. ``registry`` holds the batch's buckets only.
     current = (
         registry.groupBy(*ENTITY)
         .agg(F.max("source_version").alias("source_version"))
@@ -135,11 +155,6 @@ def _slot_past(known: DataFrame, past: DataFrame | None, hot_rows: int) -> DataF
     return seen.unionByName(highest)
 
 
-def _sent(hot: DataFrame) -> DataFrame:
-    """Hot keys to be joined: broadcast when they are few, which is checked; else left to Spark."""
-    return F.broadcast(hot) if len(hot.limit(MOST_SENT + 1).collect()) <= MOST_SENT else hot
-
-
 def decide(
     checked: DataFrame,
     processed_at: datetime | Column,
@@ -159,7 +174,6 @@ def decide(
     lead = checked
     slot = F.lit(-1).cast("bigint")
     if hot is not None:
-        hot = _sent(hot)
         lead = checked.join(hot.withColumn("_hot", F.lit(True)), "key", "left")
         slot = F.when(F.col("_hot"), F.floor(F.col("delivery_id") / hot_rows)).otherwise(slot)
         hot_known = known.join(hot, "key", "left_semi").drop("key")
@@ -243,9 +257,17 @@ def decide(
 
 
 def find_hot(received: Received, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """``hot_keys`` of the batch, or None when no key is hot."""
+    """``hot_keys`` of the batch, or None when no key is hot, as in a batch of no more rows than a hot key has.
+
+    At most ``MOST_SENT`` keys are broadcast, which is checked; more are left to Spark.
+    """
+    if received.count <= hot_rows:
+        return None
     hot = hot_keys(received.rows, hot_rows)
-    return None if hot.isEmpty() else hot
+    keys = hot.limit(MOST_SENT + 1).collect()
+    if len(keys) > MOST_SENT:
+        return hot
+    return F.broadcast(hot.sparkSession.createDataFrame(keys, hot.schema)) if keys else None
 
 
 def classify_received(
@@ -255,12 +277,24 @@ def classify_received(
     hot = find_hot(received, hot_rows)
     checked = validate(received.rows)
     if registry is not None or hot is not None:
-        # ``decide`` then reads the parsed rows twice; a checkpoint also cuts the lineage of long streams.
-        ensure_checkpoint_dir(checked.sparkSession)
-        checked = checked.checkpoint()
+        checked = settled(checked)
     return decide(checked, processed_at, registry, hot, hot_rows)
 
 
+def settled(checked: DataFrame) -> DataFrame:
+    """Validated rows that can be read again; a checkpoint also cuts the lineage of long streams."""
+    ensure_checkpoint_dir(checked.sparkSession)
+    return checked.checkpoint()
+
+
+def touched(checked: DataFrame, bucket: Column) -> list[int]:
+    """The buckets of the entities of a batch: at most as many rows as there are buckets."""
+    entities = checked.filter(F.col("reason_code").isNull()).select(
+        F.col("envelope.source").alias("source"), F.col("envelope.entity_key").alias("entity_key")
+    )
+    return sorted(row[0] for row in entities.select(bucket.alias("bucket")).distinct().collect())
+
+
 def classify(
     wire: DataFrame,
     processed_at: datetime | Column,

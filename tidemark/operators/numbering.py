@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_folder
 
 
 def number_in_chunks(
@@ -45,31 +46,38 @@ def number_in_chunks(
     )
 
 
-def sort_and_number(df: DataFrame, out: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1, 2, ... over the whole table in the order of ``order``; also ``chunk``.
+def stage_sorted(df: DataFrame, order: Sequence[str], folder: str, partitions: int | None = None) -> DataFrame:
+    """Sort a table by range into ``folder``: Parquet partitioned by ``chunk``, with ``row`` as the place inside it.
 
-    The table is range-partitioned on the order columns and checkpointed to the shared folder, so partition
-    numbers cannot change when an executor is lost and tasks are run again. What follows only handles one row
-    per partition. ``chunk`` stays in the result: it is an ordered, evenly sized cut of the data.
+    Chunks are ordered among themselves. The rows are shuffled and written once; whoever numbers or checks them reads the
+    narrow columns, and whoever needs a part of the table reads its chunks.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    placed = (
-        ranged.sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
-        .withColumn("chunk", F.shiftright("_place", 33).cast("int"))
-        .withColumn("_row", F.col("_place").bitwiseAND((1 << 33) - 1))
-    )
+    place = F.monotonically_increasing_id()
+    placed = ranged.sortWithinPartitions(*order).withColumn("_place", place)
+    chunk, row = F.shiftright("_place", 33).cast("int"), F.col("_place").bitwiseAND((1 << 33) - 1)
+    placed = placed.withColumns({"chunk": chunk, "row": row}).drop("_place")
+    placed.write.partitionBy("chunk").parquet(folder)
+    schema = StructType([*(field for field in placed.schema if field.name != "chunk"), StructField("chunk", IntegerType())])
+    return df.sparkSession.read.schema(schema).parquet(folder)
+
+
+def number_staged(staged: DataFrame, out: str) -> DataFrame:
+    """Add ``out`` = 1, 2, ... in the order of a staged table: the row's place and the sizes of earlier chunks."""
     before = W.orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
     base = (
-        placed.groupBy("chunk")
+        staged.groupBy("chunk")
         .agg(F.count(F.lit(1)).alias("_size"))
         .select("chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"))
     )
-    # One row per partition of ``placed``: the number of shuffle partitions bounds the broadcast.
-    return (
-        placed.join(F.broadcast(base), "chunk")
-        .withColumn(out, F.col("_base") + F.col("_row") + 1)
-        .drop("_place", "_row", "_base")
-    )
+    # One row per chunk: the number of shuffle partitions bounds the broadcast.
+    return staged.join(F.broadcast(base), "chunk").withColumn(out, F.col("_base") + F.col("row") + 1).drop("_base")
+
+
+def sort_and_number(df: DataFrame, out: str, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1, 2, ... over the whole table in the order of ``order``; also ``chunk``.
+
+    ``chunk`` is an ordered, evenly sized cut of the data.
+    """
+    staged = stage_sorted(df, order, f"{scratch_folder(df.sparkSession)}/sorted", partitions)
+    return number_staged(staged, out).drop("row")

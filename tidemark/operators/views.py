@@ -64,8 +64,11 @@ def orders_current(ledger: DataFrame) -> DataFrame:
 
 
 def merge_current(snapshot: DataFrame, newer: DataFrame) -> DataFrame:
-    """Compact two ``orders_current`` results into one; only a strictly greater version replaces."""
-    latest = W.partitionBy("source", "entity_key").orderBy(F.col("source_version").desc(), F.col("_age").desc())
+    """Compact two ``orders_current`` results into one; a lower version never replaces a higher one.
+
+    Equal versions only meet when a batch is written again: then the later writing counts.
+    """
+    latest = W.partitionBy("source", "entity_key").orderBy(F.col("source_version").desc(), F.col("_age"))
     return (
         snapshot.withColumn("_age", F.lit(1))
         .unionByName(newer.withColumn("_age", F.lit(0)))

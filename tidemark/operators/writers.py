@@ -41,10 +41,16 @@ def sample(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 
 def first_orders(rows: DataFrame, n: int | None) -> DataFrame:
-    """The ``n`` rows with the lowest order keys (all rows for ``None``), without gathering them in one task."""
+    """The ``n`` rows with the lowest order keys (all rows for ``None``), without gathering them in one task.
+
+    Only the keys, which are unique, are sorted; the rows are filtered by the n-th of them.
+    """
     if n is None:
         return rows
-    return sort_and_number(rows, "_n", ["order_key"]).filter(F.col("_n") <= n).drop("_n", "chunk")
+    if n < 1:
+        return rows.limit(0)
+    last = sort_and_number(rows.select("order_key"), "_n", ["order_key"]).filter(F.col("_n") == n).select("order_key").first()
+    return rows if last is None else rows.filter(F.col("order_key") <= last[0])
 
 
 def _inserted(rows: DataFrame, stamp: datetime | Column) -> DataFrame:

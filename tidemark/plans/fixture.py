@@ -4,7 +4,7 @@
 2 (one unit dearer), every fifteenth a version 3 (three units dearer than version 1). The orders of customer 0
 stay in: that key is invalid, so they end in quarantine.
 
-Deliveries are ordered by (phase, k) inside partition ``k % 3``:
+Deliveries are ordered by (phase, k) inside the partition of their key:
 
 =====  ====================================  ==========================================
 phase  message                               outcome
@@ -30,13 +30,13 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.expressions import key_bytes, wire_json
+from tidemark.functions.expressions import entity_key, key_bytes, wire_json
 from tidemark.operators.capture import JOURNAL_COLUMNS, check_rows, valid_events
 from tidemark.operators.capture import envelope as capture_envelope
 from tidemark.operators.classify import classify
 from tidemark.operators.writers import Written, seed_source
 from tidemark.schemas import MONEY
-from tidemark.sources.wire import TOPIC, as_wire, assign_offsets
+from tidemark.sources.wire import TOPIC, as_wire, assign_offsets, partition_by_key
 
 T0 = datetime(2026, 1, 1, tzinfo=timezone.utc)
 CAPTURED = T0 + timedelta(seconds=5)
@@ -133,16 +133,16 @@ def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withField("source_version", F.when(phase != 10, envelope["source_version"]))
     )
     text = F.when(phase == 7, F.lit("{bad-json")).when(phase != 6, wire_json(F.col("sent")))
-    key = F.when(phase == 8, F.lit("wrong")).otherwise(F.col("sent.entity_key"))
+    key = key_bytes(F.when(phase == 8, F.lit("wrong")).otherwise(entity_key(F.col("order_key"))))
     rows = events.withColumn("phase", F.explode(_phases())).withColumns(
-        {"block": F.shiftright("order_key", BLOCK_BITS), "partition": (F.col("order_key") % 3).cast("int")}
+        {"block": F.shiftright("order_key", BLOCK_BITS), "partition": partition_by_key(key)}
     )
     placed = assign_offsets(rows, TOPIC, order=("order_key",), chunk=("phase", "block"))
     return as_wire(
         placed.withColumn("envelope", event)
         .withColumn("sent", altered)
         .select(
-            "topic", "partition", "offset", key_bytes(key).alias("key"), key_bytes(text).alias("value"),
+            "topic", "partition", "offset", key.alias("key"), key_bytes(text).alias("value"),
             F.timestamp_micros(F.lit(micros(CAPTURED))).alias("timestamp"),
         )
     )

@@ -87,11 +87,13 @@ sent AS (
     OR (source_version = 2 AND p.phase = 2)
     OR (source_version = 3 AND p.phase = CASE WHEN order_key % 30 = 0 THEN 1 ELSE 3 END)
 ),
+placed_messages AS (
+  SELECT *, CAST(CAST('0x' || substr(md5(message_key), 1, 8) AS BIGINT) % 3 AS INTEGER) AS partition_id FROM sent
+),
 deliveries AS (
-  SELECT *, CAST(order_key % 3 AS INTEGER) AS partition_id,
-         row_number() OVER (PARTITION BY order_key % 3 ORDER BY phase, order_key) - 1 AS broker_offset,
-         row_number() OVER (ORDER BY order_key % 3, phase, order_key) AS delivery_id
-  FROM sent
+  SELECT *, row_number() OVER (PARTITION BY partition_id ORDER BY phase, order_key) - 1 AS broker_offset,
+         row_number() OVER (ORDER BY partition_id, phase, order_key) AS delivery_id
+  FROM placed_messages
 )"""
 
 _CHECKED = f"""{_DELIVERIES},
@@ -435,7 +437,27 @@ def all_oracles() -> dict[str, str]:
         "classify_deliveries": f"WITH {_LEDGER} SELECT {_DECISIONS} FROM ledger",
         "classify_hot_entities": f"WITH {_LEDGER} SELECT {_DECISIONS} FROM ledger",
         "classify_incremental": f"WITH {_LEDGER} SELECT {_DECISIONS.replace('delivery_id, ', '', 1)} FROM ledger",
-        "stream_classify": f"WITH {_LEDGER} SELECT {_DECISIONS} FROM ledger",
+        "compacted_ledger": f"""WITH {_JOURNAL},
+            valid AS (SELECT * FROM journal WHERE {_IS_VALID}),
+            sent AS (SELECT count(*) + count(*) FILTER (WHERE source_version = 1 AND order_key % 7 = 0)
+                       + count(*) FILTER (WHERE source_version = 1 AND order_key % 77 = 0)
+                       + count(*) FILTER (WHERE source_version = 1 AND order_key % 103 = 0)
+                       + count(*) FILTER (WHERE source_version = 1 AND order_key % 101 = 0)
+                       + count(*) FILTER (WHERE source_version = 1 AND order_key % 107 = 0)
+                       + count(*) FILTER (WHERE source_version = 1 AND order_key % 109 = 0)
+                       + count(*) FILTER (WHERE source_version = 1 AND order_key % 113 = 0) AS n FROM valid),
+            latest AS (SELECT order_key, max(source_version) AS v FROM valid GROUP BY order_key)
+            SELECT 'deliveries' AS measure, 2 * n AS value FROM sent
+            UNION ALL SELECT 'unique events', count(*) FROM valid
+            UNION ALL SELECT 'current entities', count(*) FROM latest
+            UNION ALL SELECT 'current versions', CAST(sum(v) AS BIGINT) FROM latest""",
+        "stream_classify": f"WITH {_LEDGER} SELECT {_DECISIONS.replace('delivery_id, ', '', 1)} FROM ledger",
+        "poll_capture": f"""WITH {_JOURNAL},
+            ticked AS (SELECT *, CASE WHEN source_version = 1 THEN 1 ELSE 2 END AS run, ({_IS_VALID}) AS valid FROM journal)
+            SELECT CAST(run AS INTEGER) AS run, CASE run WHEN 1 THEN 'initial' ELSE 'incremental' END AS mode, 'completed' AS status,
+                   max_by(order_key, (source_updated_at, order_key)) AS high_watermark_order_key,
+                   (count(*) + 499) // 500 AS pages, count(*) AS records_seen, count(*) FILTER (WHERE valid) AS records_published
+            FROM ticked GROUP BY run""",
         "sync_to_sink": f"""WITH {_JOURNAL},
             ledger AS (SELECT 'order:' || order_key AS entity_key, {_EVENT_ID} AS event_id, 'accepted' AS disposition, *
                        FROM journal WHERE {_IS_VALID})

@@ -1,4 +1,10 @@
-"""The durable pipeline: sync runs on the capture side, the ledger on the sink side."""
+"""The durable pipeline: sync runs on the capture side, the ledger on the sink side.
+
+State lies in plain Parquet tables (``Store``). Two of them say what counts: ``batches`` has one row per batch of
+deliveries, ``checkpoints`` one per group of captured pages. Both rows are written after everything they speak of, so an
+interrupted batch or group is invisible, and writing it again under the same id replaces what it left. They also carry
+what the next batch or group starts from: receipt ids, admitted offsets, the cursor.
+"""
 
 from __future__ import annotations
 
@@ -8,29 +14,58 @@ from datetime import datetime, timezone
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.expressions import entity_key, key_bytes
+from tidemark.functions.validation import validate
 from tidemark.operators import capture as cap
 from tidemark.operators import checks, inspect, views
-from tidemark.operators.classify import HOT_ROWS, classify_received, receive
+from tidemark.operators.classify import HOT_ROWS, Span, decide, find_hot, receive, settled, touched
+from tidemark.operators.numbering import stage_sorted
 from tidemark.sources import wire as topic
-from tidemark.sources.tables import CommittedTables
-
-_STORED = {
-    "ledger": schemas.LEDGER,
-    "current_snapshot": (
-        "source string, entity_key string, source_version bigint, source_updated_at timestamp, "
-        f"payload {schemas.PAYLOAD}, total_price decimal(18,2), last_event_id string, "
-        "last_captured_at timestamp, updated_at timestamp"
+from tidemark.sources.store import Store, Table
+
+BUCKETS = 16  # of entities, in the registry and the current state
+GROUPS = 4  # parts in which a run is committed, unless the caller says how many pages make one
+
+
+def _without(ddl: str, *names: str) -> str:
+    return ", ".join(part for part in schemas.columns(ddl) if part.split()[0] not in names)
+
+
+_CURRENT = (
+    "source string, entity_key string, source_version bigint, source_updated_at timestamp, "
+    f"payload {schemas.PAYLOAD}, total_price decimal(18,2), last_event_id string, "
+    "last_captured_at timestamp, updated_at timestamp"
+)
+_ENDS = "array<struct<topic: string, partition: int, next: bigint>>"
+# Point look-ups of an entity skip the row groups that do not have it.
+_BLOOM = {"parquet.bloom.filter.enabled#entity_key": "true", "parquet.bloom.filter.expected.ndv#entity_key": "1000000",
+          "parquet.bloom.filter.adaptive.enabled": "true"}
+
+SINK = {
+    "batches": Table(
+        f"number bigint, first_id bigint, next_id bigint, rows bigint, buckets int, covers boolean, ends {_ENDS}, at timestamp", "batch string"
     ),
-    "run_events": schemas.RUN_EVENTS,
-    "page_events": schemas.SYNC_BATCHES,
-    "quarantine": schemas.QUARANTINE,
-    "entity_versions": schemas.ENTITY_VERSIONS,
+    "ledger": Table(_without(schemas.LEDGER, "disposition"), "batch string, disposition string", _BLOOM),
+    "registry": Table("source string, entity_key string, source_version bigint, content_hash string", "bucket int, batch string"),
+    "current": Table(_CURRENT, "bucket int"),
 }
+CAPTURE = {
+    "runs": Table(_without(schemas.RUN_EVENTS, "run_id", "event"), "run_id string, event string"),
+    "pages": Table(_without(schemas.SYNC_BATCHES, "run_id", "status", "error_code", "finished_at"), "run_id string, first_page bigint"),
+    "quarantine": Table(schemas.QUARANTINE, "run_id string, first_page bigint"),
+    "entity_versions": Table(schemas.ENTITY_VERSIONS, "run_id string, first_page bigint"),
+    "checkpoints": Table(
+        "source string, updated_at timestamp, order_key bigint, batch_id string, finished_at timestamp, number bigint",
+        "run_id string, first_page bigint",
+    ),
+}
+TOPIC = {"wire": Table(schemas.WIRE, "publication bigint"), "publications": Table(f"ends {_ENDS}", "publication bigint")}
+# A reset begins a new generation of one side's tables.
+GENERATIONS = Table("sink int, capture int, next_id bigint", "number int")
 
 
 class Public(NamedTuple):
@@ -48,9 +83,9 @@ PUBLIC = {
     "processed_events": Public("ledger", lambda p: p.processed_events()),
     "source_entity_versions": Public("entity_versions", lambda p: p.entity_versions()),
     "source_quarantine": Public("quarantine", lambda p: p.quarantine()),
-    "sync_batches": Public("page_events", lambda p: p.batches()),
-    "sync_runs": Public("run_events", lambda p: p.runs()),
-    "sync_state": Public("page_events", lambda p: p.state()),
+    "sync_batches": Public("pages", lambda p: p.batches()),
+    "sync_runs": Public("runs", lambda p: p.runs()),
+    "sync_state": Public("checkpoints", lambda p: p.state()),
 }
 SCOPES = {"sink": [name for name, t in PUBLIC.items() if t.stored == "ledger"], "pipeline": list(PUBLIC)}
 
@@ -60,59 +95,109 @@ def now_utc() -> datetime:
 
 
 class Pipeline:
-    """State under one root folder. All tables are derived from a few append-only ones."""
+    """State under one root folder. ``buckets`` must stay the same for the life of the folder."""
 
-    def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] = now_utc):
+    def __init__(self, spark: SparkSession, root: str, clock: Callable[[], datetime] = now_utc, buckets: int = BUCKETS):
         self.spark = spark
         self.clock = clock
-        self.root = root
-        self.wire_path = f"{root.rstrip('/')}/wire"
-        self.tables = CommittedTables(spark, f"{root.rstrip('/')}/tables", _STORED)
+        self.root = root.rstrip("/")
+        self.buckets = buckets
+        self.topic = Store(spark, self.root, TOPIC)
+        self.wire_path = self.topic.path("wire")
+        self._pinned: dict[str, list[Row]] | None = None
+        self._open()
+
+    def _open(self) -> None:
+        """The tables of the latest generation. A reset by another object is seen from the next opening on."""
+        self._generations = Store(self.spark, self.root, {"generations": GENERATIONS})
+        rows = self._generations.read("generations").orderBy(F.col("number").desc()).limit(1).collect()
+        self._generation = rows[0] if rows else Row(sink=0, capture=0, next_id=1, number=0)
+        self.sink = Store(self.spark, f"{self.root}/sink-{self._generation.sink}", SINK)
+        self.capture = Store(self.spark, f"{self.root}/capture-{self._generation.capture}", CAPTURE)
+
+    # --- what counts ---------------------------------------------------------------------------------------
+    def _rows(self, store: Store, name: str) -> list[Row]:
+        """All rows of a small table: one per batch, group, run event or publication."""
+        if self._pinned is not None:
+            return self._pinned[name]
+        return store.read(name).collect()
+
+    def _small(self, store: Store, name: str) -> DataFrame:
+        if self._pinned is None:
+            return store.read(name)
+        return self.spark.createDataFrame(self._pinned[name], store.schema(name))
+
+    def pinned(self) -> Pipeline:
+        """The pipeline as of now: all reads of the returned object see the same batches and pages."""
+        now = Pipeline(self.spark, self.root, self.clock, self.buckets)
+        small = {"batches": now.sink, "runs": now.capture, "checkpoints": now.capture}
+        now._pinned = {name: store.read(name).collect() for name, store in small.items()}
+        return now
+
+    def _batches(self, rows: list[Row] | None = None) -> list[Row]:
+        """Finished batches that the ledger is made of, in order: the latest that covers all before it, and those since."""
+        rows = sorted(self._rows(self.sink, "batches") if rows is None else rows, key=lambda row: row.number)
+        covering = [i for i, row in enumerate(rows) if row.covers]
+        return rows[covering[-1] :] if covering else rows
+
+    def _of_batches(self, name: str, batches: list[Row]) -> DataFrame:
+        return self.sink.read(name).filter(F.col("batch").isin([row.batch for row in batches]))
+
+    def _of_groups(self, name: str) -> DataFrame:
+        """Rows of the page groups that have a checkpoint."""
+        groups = self._small(self.capture, "checkpoints").select("run_id", "first_page")
+        return self.capture.read(name).join(groups, ["run_id", "first_page"], "left_semi")
 
     # --- tables ------------------------------------------------------------------------------------------
-    def ledger(self) -> DataFrame:
-        return self.tables.read("ledger")
+    def ledger(self, after_id: int = 0) -> DataFrame:
+        """All deliveries; only batches with ids after ``after_id`` are read."""
+        batches = [row for row in self._batches() if row.next_id > after_id + 1]
+        return self._of_batches("ledger", batches).select(*schemas.names(schemas.LEDGER))
 
     def processed_events(self) -> DataFrame:
         return views.processed_events(self.ledger())
 
+    def registry(self, batches: list[Row] | None = None) -> DataFrame:
+        """The unique events, in buckets of their entities."""
+        return self._of_batches("registry", self._batches() if batches is None else batches)
+
     def rejections(self) -> DataFrame:
         return views.rejections(self.ledger())
 
     def orders_current(self) -> DataFrame:
-        """Latest compacted snapshot merged with the deliveries since."""
-        since = self.tables.last_fact("snapshot_order", 0)
-        newer = views.orders_current(self.tables.read("ledger", after_order=since))
-        if not since:
-            return newer
-        path = self.tables.last_fact("snapshot_commit")
-        snapshot = self.spark.read.schema(_STORED["current_snapshot"]).parquet(
-            f"{self.tables.root}/current_snapshot/commit={path}"
-        )
-        return views.merge_current(snapshot, newer)
+        """Latest version per entity: the stored state, or for a pinned pipeline the view over its batches."""
+        if self._pinned is not None:
+            return views.orders_current(self.ledger())
+        return self.sink.read("current").drop("bucket")
 
-    def pinned(self) -> Pipeline:
-        """The pipeline as of now: all reads of the returned object see the same commits."""
-        now = Pipeline(self.spark, self.root, self.clock)
-        now.tables.pin()
-        return now
+    def compact(self) -> bool:
+        """Write the ledger and the registry of all batches as one, so that there are fewer files; False if nothing was to do.
 
-    def compact_current(self) -> None:
-        """Write the current state as a snapshot, so that reads start from it."""
-        commits = self.tables.commits()
-        last = commits[-1].order if commits else 0
-        name = f"snapshot-{last}"
-        self.tables.commit(
-            name,
-            {"current_snapshot": self.orders_current()},
-            facts={"snapshot_order": last, "snapshot_commit": name},
+        What was there before stays on disk, and is not read again.
+        """
+        known = self._rows(self.sink, "batches")
+        batches = self._batches(known)
+        if len(batches) < 2:
+            return False
+        last = batches[-1]
+        name = f"upto-{last.number}"
+        for table, key in (("ledger", "disposition"), ("registry", "bucket")):
+            rows = self._of_batches(table, batches).withColumn("batch", F.lit(name))
+            self.sink.replace(table, rows.hint("rebalance", key))
+        self._finish(known, name, batches[0].first_id, last.next_id, sum(row.rows for row in batches), last.ends, covers=True)
+        return True
+
+    def _finish(self, known: list[Row], name: str, first_id: int, next_id: int, rows: int, ends: list, covers: bool = False) -> None:
+        self.sink.replace_row(
+            "batches", batch=name, number=max((row.number for row in known), default=0) + 1, first_id=first_id, next_id=next_id, rows=rows,
+            buckets=self.buckets, covers=covers, ends=_ends(ends), at=cap.at_literal(self.clock()),
         )
 
     def quarantine(self) -> DataFrame:
-        return self.tables.read("quarantine")
+        return self._of_groups("quarantine").select(*schemas.names(schemas.QUARANTINE))
 
     def entity_versions(self) -> DataFrame:
-        return cap.entity_versions(self.tables.read("entity_versions"))
+        return cap.entity_versions(self._of_groups("entity_versions"))
 
     def runs(self) -> DataFrame:
         """One row per run. A run without an end is running if it is its source's latest, else failed."""
@@ -120,7 +205,7 @@ class Pipeline:
 
     def _runs(self) -> DataFrame:
         """``runs`` and whether the run reported its own end."""
-        events = self.tables.read("run_events")
+        events = self._small(self.capture, "runs")
         ends = events.filter(F.col("event") != "started").select(
             "run_id", F.col("event").alias("_end"), F.col("at").alias("_end_at")
         )
@@ -149,60 +234,68 @@ class Pipeline:
         )
 
     def batches(self) -> DataFrame:
-        """One row per page: published, or running/failed with its run."""
-        events = self.tables.read("page_events")
-        published = events.filter(F.col("status") == "published")
-        open_pages = events.filter(F.col("status") == "running").join(
-            published.select("batch_id"), "batch_id", "left_anti"
-        )
-        runs = self._runs().select(
-            "run_id", "_reported", F.col("status").alias("_run_status"), F.col("finished_at").alias("_run_end")
-        )
-        over = F.col("_run_status") != "running"
-        unfinished = (
-            open_pages.join(runs, "run_id")
-            .withColumn("status", F.when(over, "failed").otherwise("running"))
-            .withColumn("error_code", F.when(over, F.when(F.col("_reported"), "sync_failure").otherwise("worker_restart")))
-            .withColumn("finished_at", F.when(over, F.col("_run_end")))
+        """One row per page: published with its group's checkpoint, else running or failed with its run."""
+        done = self._small(self.capture, "checkpoints").select("run_id", "first_page", F.col("finished_at").alias("_done"))
+        runs = self._runs().select("run_id", "_reported", F.col("status").alias("_run"), F.col("finished_at").alias("_end"))
+        published, over = F.col("_done").isNotNull(), F.col("_run") != "running"
+        return (
+            self.capture.read("pages")
+            .join(done, ["run_id", "first_page"], "left")
+            .join(runs, "run_id", "left")
+            .withColumns({
+                "status": F.when(published, "published").when(over, "failed").otherwise("running"),
+                "records_published": F.when(published, F.col("records_published")).otherwise(0),
+                "error_code": F.when(~published & over, F.when(F.col("_reported"), "sync_failure").otherwise("worker_restart")),
+                "finished_at": F.when(published, F.col("_done")).when(over, F.col("_end")),
+            })
+            .select(*schemas.names(schemas.SYNC_BATCHES))
         )
-        return published.unionByName(unfinished.select(*published.columns))
 
     def state(self) -> DataFrame:
-        return inspect.sync_state(self.tables.read("page_events"))
+        """Checkpoint per source: the end of its last committed group."""
+        last = F.max_by(F.struct("updated_at", "order_key", "batch_id", "finished_at"), "number").alias("c")
+        return self._small(self.capture, "checkpoints").groupBy("source").agg(last).select(
+            "source", F.col("c.updated_at").alias("last_updated_at"), F.col("c.order_key").alias("last_order_key"),
+            F.col("c.batch_id").alias("last_completed_batch_id"), F.col("c.finished_at").alias("updated_at"),
+        )
 
     def public_tables(self) -> dict[str, DataFrame]:
         return {name: table.rows(self) for name, table in PUBLIC.items()}
 
     def stats(self) -> inspect.Stats:
-        """All statistics as of one commit."""
+        """All statistics as of one moment."""
         now = self.pinned()
         return inspect.stats(now.ledger(), now.quarantine(), now.state(), now.runs(), now.batches())
 
     def snapshot(self) -> DataFrame:
-        """Comparable measures of the state, as of one commit."""
+        """Comparable measures of the state, as of one moment."""
         now = self.pinned()
         return checks.snapshot(now.orders_current(), now.ledger(), now.quarantine(), now.state())
 
     def census(self, scope: str = "sink") -> DataFrame:
-        """Rows of each table of a scope: (table_name, row_count, exists), as of one commit."""
+        """Rows of each table of a scope: (table_name, row_count, exists), as of one moment."""
         now = self.pinned()
 
         def counted(name: str) -> DataFrame:
-            there = now.tables.exists(PUBLIC[name].stored)
+            stored = PUBLIC[name].stored
+            there = (now.sink if stored in SINK else now.capture).exists(stored)
             return PUBLIC[name].rows(now).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.lit(there).alias("exists"))
 
         return reduce(DataFrame.unionByName, [counted(name) for name in SCOPES[scope]])
 
     def reset(self, scope: str = "sink") -> bool:
-        """Empty all tables of a scope; False if they are empty already. Receipt ids go on."""
+        """Begin with empty tables of a scope; False if they are empty already. Receipt ids go on. Nobody else may write."""
         rows = self.census(scope).collect()
         if not any(row["row_count"] for row in rows):
             return False
         if not all(row["exists"] for row in rows):
             raise RuntimeError("a table of the scope does not exist; nothing was emptied")
-        stored = {PUBLIC[name].stored for name in SCOPES[scope]}
-        facts = {"snapshot_order": 0} if "ledger" in stored else {}
-        return self.tables.commit(f"reset-{uuid.uuid4().hex}", {}, facts=facts, reset=tuple(sorted(stored)))
+        now = self._generation
+        self._generations.replace_row(
+            "generations", number=now.number + 1, sink=now.sink + 1, capture=now.capture + (scope == "pipeline"), next_id=self._next_id(self._rows(self.sink, "batches"))
+        )
+        self._open()
+        return True
 
     # --- capture -------------------------------------------------------------------------------------------
     def load_cursor(self, source: str) -> cap.Cursor | None:
@@ -215,9 +308,10 @@ class Pipeline:
         return None if row is None else cap.Cursor.of(cap.utc(row[0]), row[1])
 
     def _record_run(self, run_id: str, source: str, mode: str, event: str, high: cap.Cursor) -> None:
-        row = (run_id, source, mode, event, high.source_updated_at, high.order_key, self.clock())
-        frame = self.spark.createDataFrame([row], schemas.RUN_EVENTS)
-        self.tables.commit(f"run-{run_id}-{event}", {"run_events": frame})
+        self.capture.replace_row(
+            "runs", run_id=run_id, event=event, source=source, mode=mode, high_watermark_at=cap.at_literal(high.source_updated_at),
+            high_watermark_order_key=high.order_key, at=cap.at_literal(self.clock()),
+        )
 
     def sync(
         self,
@@ -230,23 +324,24 @@ class Pipeline:
     ) -> int:
         """Capture everything after the checkpoint up to a frozen high watermark; returns rows seen.
 
-        Pages are published and then committed in groups of ``commit_pages`` (all at once by default). What
-        was not committed is published again by the next run, with equal event ids.
+        Pages are published and then committed in groups of ``commit_pages`` (by default a run has ``GROUPS`` groups).
+        What was not committed is published again by the next run, with equal event ids.
         """
         after = self.load_cursor(source)
         journal = cap.normalize_journal(journal).select(*cap.JOURNAL_COLUMNS)
-        # Only what is not older than the checkpoint can hold the high watermark.
-        recent = journal if after is None else journal.filter(
-            F.col("source_updated_at") >= cap.at_literal(after.source_updated_at)
-        )
-        high = cap.high_watermark(recent)
-        cap.assert_no_regression(after, high)
-        if high is None or high == after:
-            return 0
+        high, unplaced = cap.frontier(journal, after)
+        if high is None and unplaced:
+            raise cap.CaptureError(cap.UNPLACED)
+        if not (high == after and unplaced):
+            cap.assert_no_regression(after, high)
+            if high is None or high == after:
+                return 0
         run_id = str(uuid.uuid4())
         mode = "initial" if after is None else "incremental"
         self._record_run(run_id, source, mode, "started", high)
         try:
+            if unplaced:
+                raise cap.CaptureError(cap.UNPLACED)
             total = self._capture(journal, after, high, source, run_id, batch_size, commit_pages, publish, partition)
         except Exception:
             self._record_run(run_id, source, mode, "failed", high)
@@ -266,117 +361,178 @@ class Pipeline:
         publish: Callable[[DataFrame], None] | None,
         partition: Column | None,
     ) -> int:
-        cap.assert_placed(journal)
-        part = cap.journal_range(journal, after, high)
-        unsafe = cap.first_unsafe_cursor(part)
+        # The range is scanned and sorted once; a group reads the chunks it lies in.
+        staged = stage_sorted(cap.journal_range(journal, after, high), cap.CURSOR, f"{self.root}/stage/{run_id}")
+        unsafe = cap.assert_ordered(staged, after, high)
+        pages = cap.staged_pages(staged, batch_size)
         if unsafe is not None:
             at, key = cap.at_literal(unsafe[0]), unsafe[1]
-            part = part.filter(
-                (F.col("source_updated_at") < at) | ((F.col("source_updated_at") == at) & (F.col("order_key") < key))
-            )
-        pages = cap.plan_pages(part, batch_size)
-        cap.assert_in_range(pages, after, high)
-        seen, last_at, last_key = (
-            pages.agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(*cap.CURSOR)).alias("c"))
-            .select("n", F.unix_micros("c.source_updated_at"), "c.order_key")
-            .first()
-        )
+            pages = pages.filter((F.col(cap.CURSOR[0]) < at) | ((F.col(cap.CURSOR[0]) == at) & (F.col(cap.CURSOR[1]) < key)))
+        ends = (
+            pages.groupBy("chunk")
+            .agg(F.min("number").alias("low"), F.max("number").alias("high"), F.max(F.struct(*cap.CURSOR)).alias("c"))
+            .select("chunk", "low", "high", F.unix_micros("c.source_updated_at").alias("at"), F.col("c.order_key").alias("key"))
+            .collect()
+        )  # one row per chunk
+        seen = max((row.high for row in ends), default=0)
         # The page that holds an unsafe cursor must not be committed, and none after it.
         last_page = seen // batch_size if unsafe is not None else -(-seen // batch_size)
-        captured_at = self.clock()
+        step = commit_pages or max(1, -(-last_page // GROUPS))
+        started = self.clock()
         checked = cap.check_rows(pages, source, run_id)
-        event = cap.envelope(source, run_id, captured_at)
-        # One row per page, written twice below.
-        all_batches = cap.batch_rows(checked, run_id, after).checkpoint()
-        step = commit_pages or max(last_page, 1)
-        for low in range(1, last_page + 1, step):
-            wanted = F.col("batch_sequence").between(low, min(low + step - 1, last_page))
-            self._commit_pages(
-                checked.filter(wanted), all_batches.filter(wanted), event, run_id, low, captured_at, publish, partition
-            )
+        event = cap.envelope(source, run_id, started)
+        low = after
+        for first in range(1, last_page + 1, step):
+            numbers = ((first - 1) * batch_size + 1, min(first + step - 1, last_page) * batch_size)
+            chunks = [row.chunk for row in ends if row.high >= numbers[0] and row.low <= numbers[1]]
+            group = checked.filter(F.col("chunk").isin(chunks) & F.col("number").between(*numbers))
+            low = self._commit_group(group, event, source, run_id, first, low, started, publish, partition)
         if unsafe is not None:
             raise cap.CaptureError("the journal holds a repeated or invalid cursor; checkpoint retained")
-        if (cap.utc(last_at), last_key) != tuple(high):
+        if max((cap.utc(row.at), row.key) for row in ends) != tuple(high):
             raise cap.CaptureError("journal gap: the high watermark was not reached")
         return seen
 
-    def _commit_pages(
+    def _commit_group(
         self,
         checked: DataFrame,
-        batches: DataFrame,
         event: Column,
+        source: str,
         run_id: str,
-        low: int,
-        captured_at: datetime,
+        first_page: int,
+        after: cap.Cursor | None,
+        started: datetime,
         publish: Callable[[DataFrame], None] | None,
         partition: Column | None,
-    ) -> None:
-        def pages(status: str, finished: datetime | None) -> DataFrame:
-            published = "records_published" if finished else F.lit(0).cast("bigint").alias("records_published")
-            return batches.select(
-                *(published if name == "records_published" else name for name in batches.columns),
-                F.lit(status).alias("status"),
-                F.lit(None).cast("string").alias("error_code"),
-                cap.at_literal(captured_at).alias("started_at"),
-                (cap.at_literal(finished) if finished else F.lit(None).cast("timestamp")).alias("finished_at"),
-            )
-
-        columns = [part.split()[0] for part in schemas.SYNC_BATCHES.split(", ")]
-        self.tables.commit(f"pages-{run_id}-{low}-open", {"page_events": pages("running", None).select(*columns)})
+    ) -> cap.Cursor:
+        """Publish one group of pages and commit it; returns its last cursor."""
+        group = {"run_id": F.lit(run_id), "first_page": F.lit(first_page).cast("bigint")}
+        rows = cap.batch_rows(checked, run_id, after, first_page)
+        self.capture.replace("pages", rows.withColumns({**group, "started_at": cap.at_literal(started)}))
+        # The pages as written: the end of the group is that of its last page.
+        written = self.capture.read("pages").filter((F.col("run_id") == run_id) & (F.col("first_page") == first_page))
+        end = F.max_by(F.struct("to_updated_at", "to_order_key", "batch_id"), "batch_sequence").alias("e")
+        at, key, batch_id = written.agg(end).select(F.unix_micros("e.to_updated_at"), "e.to_order_key", "e.batch_id").first()
+        until = cap.Cursor(cap.utc(at), key)
         valid = cap.valid_events(checked)
         if publish is None:
-            self.publish(valid, event, captured_at, partition)
+            self.publish(valid, event, started, partition)
         else:
             publish(valid.withColumn("envelope", event))
+        refused = cap.new_quarantine(cap.quarantine(checked, started), self.quarantine(), source, after, until)
+        self.capture.replace("quarantine", refused.withColumns(group))
         versions = cap.entity_versions(valid.withColumn("entity_key", entity_key(F.col("order_key"))))
-        self.tables.commit(
-            f"pages-{run_id}-{low}",
-            {
-                "quarantine": cap.new_quarantine(cap.quarantine(checked, captured_at), self.quarantine()),
-                "entity_versions": versions,
-                "page_events": pages("published", self.clock()).select(*columns),
-            },
+        self.capture.replace("entity_versions", versions.withColumns(group))
+        number = max((row.number for row in self._rows(self.capture, "checkpoints")), default=0) + 1
+        self.capture.replace_row(
+            "checkpoints", run_id=run_id, first_page=first_page, number=number, source=source, updated_at=cap.at_literal(until.source_updated_at),
+            order_key=key, batch_id=batch_id, finished_at=cap.at_literal(self.clock()),
         )
+        return until
 
     # --- topic ---------------------------------------------------------------------------------------------
     def wire(self) -> DataFrame:
-        fs, path = self.tables._fs(self.wire_path)
-        if not fs.exists(path):
+        if not self.topic.exists("wire"):
             return self.spark.createDataFrame([], schemas.WIRE)
         return topic.read_wire(self.spark, self.wire_path)
 
+    def _topic_ends(self) -> tuple[int, list]:
+        """The last recorded publication and the ends of the topic.
+
+        Ends are facts of a publication. Only messages that are not covered by one are scanned: those of a publication
+        that was interrupted between its messages and its row, or a topic that somebody else wrote.
+        """
+        rows = self.topic.read("publications").collect()  # one per publication
+        last = max(rows, key=lambda row: row.publication, default=None)
+        number, ends = (0, []) if last is None else (last.publication, last.ends)
+        if not self.topic.exists("wire"):
+            return number, ends
+        later = self.topic.read("wire").filter((F.col("publication") > number) | F.col("publication").isNull())
+        if last is not None:
+            later = later.filter(F.col("publication") > number)
+        found = later.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).collect()
+        return number, _merged(ends, found)
+
     def publish(self, rows: DataFrame, event: Column, at: datetime, partition: Column | None = None) -> None:
         """Append captured rows to the topic table; ``event`` makes the envelope of a row."""
         key = key_bytes(entity_key(F.col("order_key")))
         where = topic.partition_by_key(key) if partition is None else partition
         columns = [*cap.JOURNAL_COLUMNS, "batch_sequence", "number", "chunk"]
-        placed = topic.assign_offsets(
-            rows.select(*columns).withColumn("partition", where), base_offsets=topic.topic_offsets(self.wire())
-        )
+        number, ends = self._topic_ends()
+        base = self.spark.createDataFrame([(e.topic, e.partition, e.next) for e in ends], "topic string, partition int, high bigint")
+        placed = topic.assign_offsets(rows.select(*columns).withColumn("partition", where), base_offsets=base)
         sent = topic.messages(placed.withColumns({"envelope": event, "timestamp": cap.at_literal(at)}))
-        topic.as_wire(sent).write.mode("append").parquet(self.wire_path)
+        self._append(topic.as_wire(sent), number, ends)
+
+    def deliver(self, wire: DataFrame) -> None:
+        """Append messages that have their offsets already."""
+        self._append(wire, *self._topic_ends())
+
+    def _append(self, wire: DataFrame, number: int, ends: list) -> None:
+        number += 1
+        self.topic.replace("wire", wire.withColumn("publication", F.lit(number).cast("bigint")))
+        written = self.topic.read("wire").filter(F.col("publication") == number)
+        found = written.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).collect()
+        self.topic.replace_row("publications", publication=number, ends=_ends(_merged(ends, found)))
 
     # --- sink ------------------------------------------------------------------------------------------------
+    def _next_id(self, known: list[Row]) -> int:
+        return max([row.next_id for row in known] + [self._generation.next_id])
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("source", "entity_key"), F.lit(self.buckets)).cast("int")
+
     def materialize(self, wire: DataFrame, commit_id: str, hot_rows: int = HOT_ROWS) -> bool:
         """Classify one batch of deliveries against everything committed before, and commit it.
 
-        A commit id that was used before does nothing, which makes a retried batch harmless.
+        A commit id that was used before does nothing, which makes a retried batch harmless. Of the registry and the current
+        state, only the buckets of the batch's entities are read or written.
         """
-        if self.tables.committed(commit_id):
+        known = self._rows(self.sink, "batches")
+        if any(row.batch == commit_id for row in known):
             return False
-        first_id = self.tables.last_fact("next_delivery_id", 1)
-        received = receive(wire, first_id)
-        ledger = self.ledger()
-        history = self.tables.exists("ledger") and not ledger.select("delivery_id").isEmpty()
-        rows = classify_received(
-            received, self.clock(), registry=views.registry(ledger) if history else None, hot_rows=hot_rows
-        )
-        return self.tables.commit(
-            commit_id,
-            {"ledger": rows},
-            facts={"next_delivery_id": received.next_delivery_id},
-            partition_by={"ledger": "disposition"},
-        )
+        batches = self._batches(known)
+        if batches and batches[-1].buckets != self.buckets:
+            raise ValueError(f"this folder has {batches[-1].buckets} buckets")
+        received = receive(wire, self._next_id(known), topic.misplaced())
+        first_id = received.next_delivery_id - sum(span.high - span.low + 1 for span in received.spans)
+        checked, hot, registry = validate(received.rows), find_hot(received, hot_rows), None
+        if batches or hot is not None:
+            checked = settled(checked)
+        if batches:
+            registry = self.registry_of(touched(checked, self._bucket()), batches)
+        rows = decide(checked, self.clock(), registry, hot, hot_rows).withColumn("batch", F.lit(commit_id))
+        self.sink.replace("ledger", rows)
+        written = self.sink.read("ledger").filter(F.col("batch") == commit_id)
+        fresh = views.registry(written).withColumns({"bucket": self._bucket(), "batch": F.lit(commit_id)})
+        self.sink.replace("registry", fresh.hint("rebalance", "bucket"))
+        self._upsert(written)
+        self._finish(known, commit_id, first_id, received.next_delivery_id, received.count, _after(batches, received.spans))
+        return True
+
+    def registry_of(self, buckets: list[int], batches: list[Row] | None = None) -> DataFrame:
+        """The registry's part in some buckets; the others are not listed among the files to read."""
+        return self.registry(batches).filter(F.col("bucket").isin(buckets)).drop("bucket", "batch")
+
+    def _upsert(self, written: DataFrame) -> None:
+        """Bring the accepted rows of a batch into the current state, bucket by bucket; other buckets stay as they are."""
+        newer = views.orders_current(written).withColumn("bucket", self._bucket())
+        buckets = [row[0] for row in newer.select("bucket").distinct().collect()]
+        held = self.sink.read("current").filter(F.col("bucket").isin(buckets))
+        self.sink.replace("current", views.merge_current(held, newer).hint("rebalance", "bucket"))
+
+    def admitted(self) -> list[Row]:
+        """How far each partition was taken into the ledger, without a gap: (topic, partition, next)."""
+        batches = self._batches()
+        return batches[-1].ends if batches else []
+
+    def admissible(self) -> DataFrame:
+        """Messages of the topic table that come next in every partition, up to the first offset that is not there yet."""
+        wire = self.wire()
+        done = self.spark.createDataFrame([(e.topic, e.partition, e.next) for e in self.admitted()], "topic string, partition int, next bigint")
+        ends = topic.gapless_ends(wire, done).collect()  # one row per partition
+        spans = [(F.col("topic") == e.topic) & (F.col("partition") == e.partition) & F.col("offset").between(e.low, e.high - 1) for e in ends]
+        return wire.filter(reduce(lambda a, b: a | b, spans, F.lit(False)))
 
     def replay(self, name: str) -> DataFrame:
         """Deliver the whole topic again from offset 0: each measure before and after, and whether it is as it must be.
@@ -397,3 +553,20 @@ class Pipeline:
         same = F.col("before").eqNullSafe(F.col("after"))
         holds = F.when(F.col("measure") == "deliveries", grown).when(F.col("measure") == "rejections", F.lit(True)).otherwise(same)
         return earlier.join(after, "measure", "full_outer").withColumn("holds", holds)
+
+
+def _merged(ends: list, newer: list) -> list[Row]:
+    """Ends of all partitions; one never goes back."""
+    found = {(e.topic, e.partition): e.next for e in ends}
+    for e in newer:
+        found[e.topic, e.partition] = max(e.next, found.get((e.topic, e.partition), 0))
+    return [Row(topic=t, partition=p, next=n) for (t, p), n in sorted(found.items())]
+
+
+def _after(batches: list[Row], spans: tuple[Span, ...]) -> list[Row]:
+    return _merged(batches[-1].ends if batches else [], [Row(topic=s.topic, partition=s.partition, next=s.high + 1) for s in spans])
+
+
+def _ends(ends: list) -> Column:
+    cells = [F.struct(F.lit(e.topic).alias("topic"), F.lit(e.partition).alias("partition"), F.lit(e.next).alias("next")) for e in ends]
+    return F.array(*cells).cast(_ENDS)

@@ -5,8 +5,6 @@ Times become ISO text and money two-decimal text, so that engines can be compare
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
@@ -22,8 +20,9 @@ from tidemark.operators.classify import classify
 from tidemark.plans import fixture
 from tidemark.plans.fixture import RUN, SOURCE, T0, processed_at
 from tidemark.plans.pipeline import Pipeline
+from tidemark.session import scratch_folder
 from tidemark.sources import wire as topic
-from tidemark.streaming.ingest import run_stream
+from tidemark.streaming.ingest import run_capture, run_topic_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,60 +303,80 @@ def classify_hot_entities(spark: SparkSession, sf: str) -> DataFrame:
     return _decisions(classify(fixture.wire(spark, sf), processed_at(), hot_rows=2))
 
 
-def _scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared folder; a temporary one only in local mode."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def _sink_clock() -> datetime:
     return T0 + timedelta(seconds=10)
 
 
 def _stored_ledger(spark: SparkSession, sf: str) -> DataFrame:
     """The ledger as committed files, for queries that read it more than once."""
-    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
     pipeline.materialize(fixture.wire(spark, sf), "all")
     return pipeline.ledger()
 
 
 @query
 def classify_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Two committed batches, split by offset; the second is decided against the first."""
-    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
-    folder = f"{_scratch(spark)}/wire"
-    fixture.wire(spark, sf).write.parquet(folder)
-    rows = topic.read_wire(spark, folder)
-    ends = topic.topic_offsets(rows).withColumn("high", F.floor(F.col("high") / 2))
-    first = topic.read_bounded(rows, ends)
-    half = F.broadcast(ends.select("topic", "partition", F.col("high").alias("_half")))
-    second = rows.join(half, ["topic", "partition"]).filter("offset >= _half").drop("_half")
-    pipeline.materialize(first, "first")
-    pipeline.materialize(second, "second")
+    """Five committed batches, split by offset; each is decided against those before it, bucket by bucket."""
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
+    pipeline.deliver(fixture.wire(spark, sf))
+    rows = pipeline.wire()
+    ends = F.broadcast(topic.topic_offsets(rows).select("topic", "partition", F.col("high").alias("_high")))
+    fifth = F.floor(F.col("offset") * 5 / F.col("_high"))
+    for part in range(5):
+        pipeline.materialize(rows.join(ends, ["topic", "partition"]).filter(fifth == part).drop("_high"), f"part-{part}")
     return _decisions(pipeline.ledger()).drop("delivery_id")
 
 
+@query
+def compacted_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Two batches written as one, and a third decided against them: deliveries per disposition, and what is current."""
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
+    rows = fixture.wire(spark, sf)
+    pipeline.deliver(rows)
+    half = F.col("offset") % 2
+    pipeline.materialize(pipeline.wire().filter(half == 0), "even")
+    pipeline.materialize(pipeline.wire().filter(half == 1), "odd")
+    pipeline.compact()
+    pipeline.materialize(pipeline.wire(), "again")
+    current = pipeline.orders_current().agg(
+        F.lit("current entities").alias("measure"), F.count(F.lit(1)).alias("value")
+    ).unionByName(pipeline.orders_current().agg(F.lit("current versions").alias("measure"), F.sum("source_version").alias("value")))
+    counts = pipeline.ledger().agg(F.lit("deliveries").alias("measure"), F.count(F.lit(1)).alias("value"))
+    unique = pipeline.processed_events().agg(F.lit("unique events").alias("measure"), F.count(F.lit(1)).alias("value"))
+    return counts.unionByName(unique).unionByName(current)
+
+
 @query
 def stream_classify(spark: SparkSession, sf: str) -> DataFrame:
-    """The topic as a stream into the ledger, until everything available was consumed."""
-    root = _scratch(spark)
-    pipeline = Pipeline(spark, root, clock=_sink_clock)
-    fixture.wire(spark, sf).write.parquet(pipeline.wire_path)
-    stream = run_stream(
-        pipeline, topic.read_wire_stream(spark, pipeline.wire_path), f"{root}/checkpoint", "ingest", available_now=True
+    """The topic as a stream into the ledger: its files appear last offsets first, and messages wait for their turn."""
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
+    rows = fixture.wire(spark, sf).repartitionByRange(6, F.col("offset").desc()).sortWithinPartitions("partition", "offset")
+    rows.write.parquet(pipeline.wire_path)
+    run_topic_stream(pipeline, f"{pipeline.root}/checkpoint", "ingest", available_now=True, max_files=2).awaitTermination()
+    return _decisions(pipeline.ledger()).drop("delivery_id")
+
+
+@query
+def poll_capture(spark: SparkSession, sf: str) -> DataFrame:
+    """The journal polled twice, with the updates of all orders arriving in between: one run for each tick."""
+    root = scratch_folder(spark)
+    ticks = iter(range(1, 1_000_000))
+    pipeline = Pipeline(spark, root, clock=lambda: T0 + timedelta(seconds=next(ticks)))
+    rows, path = fixture.journal(spark, sf), f"{root}/journal"
+    for version in (F.col("source_version") == 1, F.col("source_version") > 1):
+        rows.filter(version).write.mode("append").parquet(path)
+        run_capture(pipeline, path, SOURCE, f"{root}/polls", "poll", available_now=True).awaitTermination()
+    runs = _numbered_runs(pipeline).select("run", "run_id", "mode", "status", "high_watermark_order_key")
+    pages = pipeline.batches().groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("records_seen").alias("records_seen"), F.sum("records_published").alias("records_published")
     )
-    stream.awaitTermination()
-    return _decisions(pipeline.ledger())
+    return runs.join(pages, "run_id").drop("run_id")
 
 
 @query
 def sync_to_sink(spark: SparkSession, sf: str) -> DataFrame:
     """The whole chain on durable tables: sync the journal, consume the topic, read the state."""
-    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
     pipeline.sync(fixture.journal(spark, sf), SOURCE)
     pipeline.materialize(pipeline.wire(), "all")
     return _current_text(pipeline.orders_current())
@@ -525,10 +544,12 @@ def partitions_per_entity(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def replay_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Everything delivered twice: the second time nothing new may be accepted."""
-    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
-    fixture.wire(spark, sf).write.parquet(pipeline.wire_path)
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
+    pipeline.deliver(fixture.wire(spark, sf))
     pipeline.materialize(pipeline.wire(), "original")
-    pipeline.materialize(topic.read_bounded(pipeline.wire(), topic.topic_offsets(pipeline.wire())), "again")
+    proof = pipeline.replay("again").filter(~F.col("holds"))
+    if not proof.isEmpty():
+        raise RuntimeError("a replay changed the state")
     return checks.dispositions(pipeline.ledger())
 
 
@@ -632,7 +653,7 @@ def state_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def table_census(spark: SparkSession, sf: str) -> DataFrame:
     """Row counts of the sink tables."""
-    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
     pipeline.materialize(fixture.wire(spark, sf), "all")
     return pipeline.census().select("table_name", "row_count")
 
@@ -640,7 +661,7 @@ def table_census(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stats(spark: SparkSession, sf: str) -> DataFrame:
     """All statistics of a pipeline that captured the journal and classified it once, as (measure, value)."""
-    pipeline = Pipeline(spark, _scratch(spark), clock=_sink_clock)
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
     pipeline.sync(fixture.journal(spark, sf), fixture.SOURCE)
     pipeline.materialize(pipeline.wire(), "first")
     found = pipeline.stats()
@@ -665,7 +686,7 @@ class _Killed(BaseException):
 def _three_runs(spark: SparkSession, sf: str) -> Pipeline:
     """A pipeline whose first run fails, whose second is killed and whose third completes; four pages in all."""
     ticks = iter(range(1, 1_000_000))
-    pipeline = Pipeline(spark, _scratch(spark), clock=lambda: T0 + timedelta(seconds=next(ticks)))
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=lambda: T0 + timedelta(seconds=next(ticks)))
     rows = fixture.journal(spark, sf)
     page = (rows.count() + 3) // 4
 
@@ -681,7 +702,7 @@ def _three_runs(spark: SparkSession, sf: str) -> Pipeline:
 
     for error in (RuntimeError("the broker does not answer"), _Killed(), None):
         try:
-            pipeline.sync(rows, fixture.SOURCE, batch_size=page, commit_pages=1, publish=ending(error))
+            pipeline.sync(rows, fixture.SOURCE, batch_size=page, publish=ending(error))
         except (RuntimeError, _Killed) as stopped:
             if stopped is not error:
                 raise

@@ -45,15 +45,6 @@ LEDGER = (
     f"envelope {ENVELOPE}, reason_code string, details {DETAILS}"
 )
 
-REGISTRY = (
-    "event_id string, source string, entity_key string, source_version bigint, content_hash string"
-)
-
-SYNC_RUNS = (
-    "run_id string, source string, mode string, status string, high_watermark_at timestamp, "
-    "high_watermark_order_key bigint, started_at timestamp, finished_at timestamp"
-)
-
 RUN_EVENTS = (
     "run_id string, source string, mode string, event string, high_watermark_at timestamp, "
     "high_watermark_order_key bigint, at timestamp"
@@ -66,11 +57,6 @@ SYNC_BATCHES = (
     "started_at timestamp, finished_at timestamp"
 )
 
-SYNC_STATE = (
-    "source string, last_updated_at timestamp, last_order_key bigint, "
-    "last_completed_batch_id string, updated_at timestamp"
-)
-
 ENTITY_VERSIONS = (
     "source string, entity_key string, source_version bigint, source_updated_at timestamp, "
     "last_event_id string"
@@ -80,3 +66,19 @@ QUARANTINE = (
     "batch_id string, source string, source_updated_at timestamp, order_key bigint, "
     "raw_record string, reason string, created_at timestamp"
 )
+
+
+def columns(ddl: str) -> list[str]:
+    """The columns of a schema, one DDL text each: cut at the commas outside of brackets."""
+    found, depth = [""], 0
+    for letter in ddl:
+        depth += {"<": 1, "(": 1, ">": -1, ")": -1}.get(letter, 0)
+        if letter == "," and depth == 0:
+            found.append("")
+        else:
+            found[-1] += letter
+    return [part.strip() for part in found]
+
+
+def names(ddl: str) -> list[str]:
+    return [column.split()[0] for column in columns(ddl)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder below the shared one, for tables that one query or run writes and reads again."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tidemark-{uuid.uuid4().hex}"

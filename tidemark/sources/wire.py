@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import key_bytes, wire_json
 from tidemark.operators.numbering import number_in_chunks
-from tidemark.schemas import WIRE
+from tidemark.schemas import WIRE, names
 
 TOPIC = "source.orders.v1"
 PARTITIONS = 3
+SPAN = 65_536  # offsets counted together
 
 
 def partition_by_key(key: Column, partitions: int = PARTITIONS) -> Column:
-    """Every version of an entity goes to one partition."""
-    return F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
+    """Every version of an entity goes to one partition: the one of its key."""
+    return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint"), F.lit(partitions)).cast("int")
+
+
+def misplaced(partitions: int = PARTITIONS) -> Column:
+    """Whether a message of this topic lies in another partition than its key's, where order per entity is lost."""
+    return (F.col("topic") == TOPIC) & F.col("key").isNotNull() & (F.col("partition") != partition_by_key(F.col("key"), partitions))
 
 
 def assign_offsets(
@@ -76,7 +83,7 @@ def publish_kafka(rows: DataFrame, servers: str, topic: str = TOPIC) -> None:
 
 
 def read_wire(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(WIRE).parquet(path)
+    return spark.read.schema(WIRE).parquet(path).select(*names(WIRE))
 
 
 def read_wire_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -84,7 +91,7 @@ def read_wire_stream(spark: SparkSession, path: str, max_files: int | None = Non
     reader = spark.readStream.schema(WIRE)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*names(WIRE))
 
 
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str = TOPIC) -> DataFrame:
@@ -107,6 +114,35 @@ def topic_offsets(wire: DataFrame) -> DataFrame:
     )
 
 
+def gapless_ends(pending: DataFrame, next_offsets: DataFrame) -> DataFrame:
+    """For each partition the (exclusive) end of the offsets that follow ``next`` without a gap.
+
+    ``pending`` holds offsets from ``next`` on, in any order; a partition that is not in ``next_offsets`` (one row each)
+    begins at 0. Offsets are counted in spans, and only the first span that is not full is looked at row by row.
+    """
+    start = F.broadcast(next_offsets.select("topic", "partition", F.col("next").alias("_next")))
+    rows = pending.join(start, ["topic", "partition"], "left").select(
+        "topic", "partition", "offset", F.coalesce("_next", F.lit(0)).cast("bigint").alias("_next")
+    )
+    rows = rows.filter("offset >= _next").distinct().withColumn("_span", F.floor((F.col("offset") - F.col("_next")) / SPAN))
+    counts = rows.groupBy("topic", "partition", "_next", "_span").agg(F.count(F.lit(1)).alias("_n"))
+    by_span = W.partitionBy("topic", "partition").orderBy("_span")  # one row for each span
+    # Full spans from the first one on; the span after them is the one to look into.
+    placed = counts.withColumn("_at", F.row_number().over(by_span) - 1)
+    full = placed.withColumn("_whole", F.min((F.col("_n") == SPAN) & (F.col("_at") == F.col("_span"))).over(by_span))
+    last = full.groupBy("topic", "partition", "_next").agg(F.count_if("_whole").alias("_look"))
+    inside = rows.join(F.broadcast(last), ["topic", "partition", "_next"]).filter("_span = _look")
+    place = W.partitionBy("topic", "partition").orderBy("offset")  # at most SPAN rows
+    steps = inside.withColumn("_place", F.row_number().over(place) - 1).filter(
+        F.col("offset") == F.col("_next") + F.col("_look") * SPAN + F.col("_place")
+    )
+    found = steps.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("_more"))
+    return last.join(found, ["topic", "partition"], "left").select(
+        "topic", "partition", F.col("_next").alias("low"),
+        (F.col("_next") + F.col("_look") * SPAN + F.coalesce("_more", F.lit(0))).alias("high"),
+    )
+
+
 def read_bounded(wire: DataFrame, ends: DataFrame) -> DataFrame:
     """Everything from offset 0 up to the captured ends; refuses if offset 0 has expired.
 
