@@ -58,11 +58,11 @@ def run(spark, sf_dir: str) -> tuple[dict[str, float], dict[str, int]]:
     timed("counts_by_type", lambda: inspect.counts_by_type(ledger).collect())
     timed("counts_total", lambda: inspect.counts_with_total(ledger).collect())
     timed("processing_delay", lambda: inspect.processing_delay(ledger).collect())
-    timed("orders_current", lambda: noop(views.orders_current(ledger)))
+    timed("orders_current", lambda: noop(pipeline.orders_current()))
     timed("processed_events", lambda: noop(views.processed_events(ledger)))
     timed("rejections_by_reason", lambda: checks.rejections_by_reason(ledger).collect())
-    timed("events_page", lambda: inspect.events_page(ledger, 500, source=fixture.SOURCE, event_type="insert"))
-    timed("entity_view", lambda: inspect.entity_view(ledger, "order:1155", fixture.SOURCE))
+    timed("events_page", lambda: pipeline.events_page(500, source=fixture.SOURCE, event_type="insert"))
+    timed("entity_view", lambda: pipeline.entity_view("order:1155", fixture.SOURCE))
     timed("state_fingerprint", lambda: checks.state_fingerprint(views.orders_current(ledger)).collect())
     timed("constraint_violations", lambda: checks.check_constraints(
         {"event_deliveries": ledger, "processed_events": views.processed_events(ledger),

@@ -470,6 +470,38 @@ def test_pages_filters_and_entities(spark, folder):
         inspect.entity_view(ledger, "absent", s.SOURCE)
 
 
+def test_stored_pages_read_later_batches_only(spark, folder):
+    pipeline = make(spark, folder)
+    versions = (1, 3, 2, 3, 1, 4)
+    for part in range(3):
+        messages = [s.deliver(s.envelope(1, v)) for v in versions[part * 2 : part * 2 + 2]] + [s.deliver(s.envelope(2 + part))]
+        pipeline.materialize(s.wire(spark, messages, start=part * 3), f"b{part}")
+    files = pipeline.ledger(after_id=3).select(F.input_file_name()).distinct().collect()
+    assert {r[0].split("/batch=")[1].split("/")[0] for r in files} == {"b1", "b2"}
+    ids, after = [], 0
+    while after is not None:
+        page = pipeline.events_page(2, after, entity_key="order:1", source_prefix="shop")
+        ids += [(row["delivery_id"], row["envelope"]["source_version"]) for row in page.items]
+        after = page.next_after_id
+    assert ids == [(1, 1), (2, 3), (4, 2), (5, 3), (7, 1), (8, 4)]
+    assert pipeline.events_page(source_prefix="none.") == inspect.Page([], None)
+    view = pipeline.entity_view("order:1", s.SOURCE, after_id=4, limit=2)
+    assert view.current["source_version"] == 4 and [r["delivery_id"] for r in view.history] == [5, 7] and view.next_after_id == 7
+    assert pipeline.entity_view("order:1", s.SOURCE, after_id=100).history == []
+    with pytest.raises(inspect.EntityNotFound):
+        pipeline.entity_view("order:9", s.SOURCE)
+    plan = pipeline.current_of("order:1", s.SOURCE)._jdf.queryExecution().executedPlan().toString()
+    assert "(bucket#" in plan.split("PartitionFilters")[1].split("]")[0] and "EqualTo(entity_key,order:1)" in plan
+
+
+def test_set_difference(spark):
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "k int, t string")
+    right = spark.createDataFrame([("a", 1), (None, 2), ("d", 4)], "t string, k int")
+    got = {(r["k"], r["t"]): (r["in_left"], r["in_right"]) for r in checks.set_difference(left, right, "k", "t").collect()}
+    assert got == {(1, "a"): (2, 1), (3, "c"): (1, 0), (4, "d"): (0, 1)}
+    assert checks.set_difference(left, left, "k", "t").isEmpty() and checks.set_difference(left.limit(0), right.limit(0), "k").isEmpty()
+
+
 def test_empty_tables(spark, folder):
     pipeline = make(spark, folder)
     stats = pipeline.stats()

@@ -79,7 +79,7 @@ CASES = [
     ("text after", s.compact(s.envelope()) + b" x", JSON),
     ("two documents", s.compact(s.envelope()) + b"," + s.compact(s.envelope()), JSON),
     ("early bracket", s.compact(s.envelope()) + b"],[1", JSON),
-    ("not UTF-8", s.compact(s.envelope()).replace(b"Sample", b"S\xffmple"), JSON),
+    ("not UTF-8", s.compact(s.envelope()).replace(b"Example", b"Ex\xffmple"), JSON),
 ] + [
     (f"price {price!r}", s.compact(with_payload(total_price=price)), BUSINESS)
     for price in ("-0.01", "1.001", "NaN", "Infinity", 1.2, True, None, "10000000000000000.00", "", "1,0")
@@ -88,7 +88,7 @@ CASES = [
 
 @pytest.fixture(scope="module")
 def outcomes(spark):
-    rows = [(name, bytearray(b"order:123"), bytearray(value)) for name, value, _ in CASES]
+    rows = [(name, bytearray(b"order:31"), bytearray(value)) for name, value, _ in CASES]
     frame = validate(spark.createDataFrame(rows, "name string, key binary, value binary"))
     return {row["name"]: row for row in frame.collect()}
 
@@ -123,9 +123,9 @@ def test_content_hash_is_the_hash_of_the_canonical_content(outcomes, name):
 
 
 def test_filters_on_the_result_stay_cheap_to_plan(spark):
-    rows = [(bytearray(b"order:123"), bytearray(s.compact(s.envelope())))]
+    rows = [(bytearray(b"order:31"), bytearray(s.compact(s.envelope())))]
     frame = validate(spark.createDataFrame(rows, "key binary, value binary"))
-    assert frame.filter("reason_code is null and envelope.entity_key = 'order:123'").count() == 1
+    assert frame.filter("reason_code is null and envelope.entity_key = 'order:31'").count() == 1
 
 
 TEXTS = ["plain", 'quote " and \\', "line\nbreak\ttab\r\b\f", "é", "𝄞 clef", "\x01\x7f", "", "/"]

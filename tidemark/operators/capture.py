@@ -162,9 +162,14 @@ def journal_page(journal: DataFrame, after: Cursor | None, high: Cursor, limit:
     return journal_range(journal, after, high).orderBy(*CURSOR).limit(limit)
 
 
+def cursor_multiplicity(journal: DataFrame) -> DataFrame:
+    """How often each cursor occurs. Copies are counted map-side, so a hot cursor is harmless."""
+    return journal.groupBy(*CURSOR).agg(F.count(F.lit(1)).alias("multiplicity"))
+
+
 def duplicate_cursors(journal: DataFrame) -> DataFrame:
-    """Cursors that occur more than once. Copies are counted map-side, so a hot cursor is harmless."""
-    return journal.groupBy(*CURSOR).agg(F.count(F.lit(1)).alias("multiplicity")).filter("multiplicity > 1")
+    """Cursors that occur more than once."""
+    return cursor_multiplicity(journal).filter("multiplicity > 1")
 
 
 def journal_range(journal: DataFrame, after: Cursor | None, high: Cursor) -> DataFrame:

@@ -266,6 +266,17 @@ def ledger_losses(before: DataFrame, after: DataFrame) -> DataFrame:
     return stamped(before).join(stamped(after), ["delivery_id", "_content"], "left_anti").select("delivery_id")
 
 
+def set_difference(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
+    """Values that the two sides do not have equally often, with both counts; equal sets give no row.
+
+    One aggregation over both sides; copies are counted where they lie, so a hot value is harmless. NULLs are equal.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    sides = left.select(*columns, one.alias("_l"), none.alias("_r")).unionAll(right.select(*columns, none, one))
+    counts = sides.groupBy(*columns).agg(F.sum("_l").alias("in_left"), F.sum("_r").alias("in_right"))
+    return counts.filter("in_left <> in_right")
+
+
 def snapshot(current: DataFrame, ledger: DataFrame, quarantine: DataFrame, state: DataFrame) -> DataFrame:
     """The state as (measure, value) rows, all of them text: aggregates, and a checkpoint for each source."""
     finger = state_fingerprint(current).select(F.expr("stack(2, 'entities', string(entities), 'state', sha256) as (measure, value)"))

@@ -31,12 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expressions import entity_key, key_bytes, wire_json
+from tidemark.functions.validation import validate
 from tidemark.operators.capture import JOURNAL_COLUMNS, check_rows, valid_events
 from tidemark.operators.capture import envelope as capture_envelope
 from tidemark.operators.classify import classify
 from tidemark.operators.writers import Written, seed_source
 from tidemark.schemas import MONEY
-from tidemark.sources.wire import TOPIC, as_wire, assign_offsets, partition_by_key
+from tidemark.sources.wire import TOPIC, as_wire, assign_offsets, messages, partition_by_key
 
 T0 = datetime(2026, 1, 1, tzinfo=timezone.utc)
 CAPTURED = T0 + timedelta(seconds=5)
@@ -155,3 +156,56 @@ def processed_at() -> Column:
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(wire(spark, sf_dir), processed_at())
+
+
+# One change per rule: pattern and replacement in the publisher's text, then what validation must say:
+# reason, location and rule. Order k gets the change number k modulo their count.
+_ID64 = "0" * 64
+CHANGES = (
+    (r'"customer_name":"[^"]*"', '"customer_name":""', "business_quality_violation", "payload.customer_name", "string_too_short"),
+    (r'"customer_name":"[^"]*"', f'"customer_name":"{"x" * 201}"', "business_quality_violation", "payload.customer_name", "string_too_long"),
+    (r',"customer_name":"[^"]*"', "", "business_quality_violation", "payload.customer_name", "missing"),
+    (r'"order_status":"."', '"order_status":"X"', "business_quality_violation", "payload.order_status", "literal_error"),
+    (r'"order_date":"[^"]*"', '"order_date":"1996-02-30"', "business_quality_violation", "payload.order_date", "date_from_datetime_parsing"),
+    (r'"order_key":[0-9]+', '"order_key":"1"', "business_quality_violation", "payload.order_key", "int_type"),
+    (r'"customer_key":[0-9]+', '"customer_key":-1', "business_quality_violation", "payload.customer_key", "greater_than"),
+    (r'"total_price":"[^"]*"', '"total_price":"1.001"', "business_quality_violation", "payload.total_price", "decimal_max_places"),
+    (r'"total_price":"[^"]*"', '"total_price":1.5', "business_quality_violation", "payload.total_price", "value_error"),
+    (r'"total_price":"[^"]*"', '"total_price":"NaN"', "business_quality_violation", "payload.total_price", "finite_number"),
+    (r'"order_key"', '"other":1,"order_key"', "business_quality_violation", "payload.other", "extra_forbidden"),
+    (r'"payload":\{[^}]*\}', '"payload":"text"', "business_quality_violation", "payload", "model_type"),
+    (r'^\{', '{"other":1,', "invalid_envelope", "other", "extra_forbidden"),
+    (r'"event_id":"[^"]*"', '"event_id":"zz"', "invalid_envelope", "event_id", "string_pattern_mismatch"),
+    (r'"event_id":"[^"]*"', f'"event_id":"{_ID64}"', "invalid_envelope", "", "value_error"),
+    (r'"event_type":"[^"]*"', '"event_type":"delete"', "invalid_envelope", "event_type", "literal_error"),
+    (r'"source":"[^"]*"', '"source":"a b"', "invalid_envelope", "source", "string_pattern_mismatch"),
+    (r'"entity_key":"[^"]*"', '"entity_key":"Order:1"', "invalid_envelope", "entity_key", "string_pattern_mismatch"),
+    (r'"entity_key":"[^"]*"', '"entity_key":"order:0999999999"', "invalid_envelope", "entity_key", "string_pattern_mismatch"),
+    (r'"schema_version":1', '"schema_version":2', "invalid_envelope", "schema_version", "literal_error"),
+    (r'"schema_version":1', '"schema_version":true', "invalid_envelope", "schema_version", "value_error"),
+    (r'"source_version":[0-9]+', '"source_version":0', "invalid_envelope", "source_version", "greater_than"),
+    (r'"source_version":[0-9]+', '"source_version":true', "invalid_envelope", "source_version", "int_type"),
+    (r'"batch_sequence":[0-9]+', '"batch_sequence":"1"', "invalid_envelope", "batch_sequence", "int_type"),
+    (r'"captured_at":"([^"]*)Z"', '"captured_at":"$1"', "invalid_envelope", "captured_at", "timezone_aware"),
+    (r'"captured_at":"[^"]*"', '"captured_at":1767225605', "invalid_envelope", "captured_at", "value_error"),
+    (r'"occurred_at":"[^"]*"', '"occurred_at":"2025-12-31T00:00:00.000000Z"', "invalid_envelope", "", "value_error"),
+    (r'"batch_id":"[^"]*"', '"batch_id":"nope"', "invalid_envelope", "batch_id", "uuid_parsing"),
+    (r'"sync_run_id":"[^"]*"', '"sync_run_id":7', "invalid_envelope", "sync_run_id", "uuid_type"),
+    (r'"captured_at":"[^"]*"', '"captured_at":"2026-01-01T02:00:05.000000+02:00"', None, None, None),
+)
+
+
+def rule_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First versions as messages, each with one change: deliveries per reason, location and rule."""
+    rows = journal(spark, sf_dir).filter("source_version = 1").withColumn("batch_sequence", F.lit(1))
+    events = valid_events(check_rows(rows, SOURCE, RUN)).withColumn("envelope", capture_envelope(SOURCE, RUN, CAPTURED))
+    sent = messages(events.select("order_key", "envelope"))
+    text, number = F.col("value").cast("string"), F.col("order_key") % len(CHANGES)
+    changed = text
+    for i, (pattern, put, *_) in enumerate(CHANGES):
+        changed = F.when(number == i, F.regexp_replace(text, pattern, put)).otherwise(changed)
+    wire_rows = sent.select(F.col("key"), changed.cast("binary").alias("value"))
+    said = validate(wire_rows).select("reason_code", F.explode_outer("details").alias("error"))
+    return said.groupBy(
+        "reason_code", F.array_join("error.loc", ".").alias("loc"), F.col("error.type").alias("rule")
+    ).agg(F.count(F.lit(1)).alias("deliveries"))

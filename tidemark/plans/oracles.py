@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans.fixture import RUN, SECOND_RUN, SOURCE
+from tidemark.plans.fixture import CHANGES, RUN, SECOND_RUN, SOURCE
 from tidemark.plans.queries import PLANTED
 from tidemark.sources.wire import TOPIC
 
@@ -323,6 +323,10 @@ def _planted() -> str:
     return "WITH keys AS (SELECT o_orderkey + 1 AS k FROM orders) " + " UNION ALL ".join(parts)
 
 
+def _sql(text: str | None) -> str:
+    return "NULL" if text is None else f"'{text}'"
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "load_seed": f"""WITH {_SEEDED}
@@ -467,7 +471,9 @@ def all_oracles() -> dict[str, str]:
                    delivery_id AS first_delivery_id
             FROM ledger WHERE disposition IN ('accepted', 'stale')""",
         "orders_current": f"WITH {_LEDGER} {_CURRENT}",
-        "event_rejections": f"WITH {_LEDGER} SELECT delivery_id, reason_code FROM ledger WHERE disposition = 'rejected'",
+        "event_rejections": f"""WITH {_LEDGER}
+            SELECT delivery_id, '{TOPIC}' AS topic, CASE WHEN event_id IS NOT NULL THEN '{SOURCE}' END AS source, reason_code
+            FROM ledger WHERE disposition = 'rejected'""",
         "rejections_by_reason": f"""WITH {_LEDGER}
             SELECT reason_code, count(*) AS rejections FROM ledger WHERE disposition = 'rejected' GROUP BY reason_code""",
         "deliveries_by_disposition": f"""WITH {_LEDGER}
@@ -487,6 +493,54 @@ def all_oracles() -> dict[str, str]:
             ORDER BY l.delivery_id LIMIT 501""",
         "entity_history": f"""WITH {_LEDGER} {_PAGE}
             WHERE l.entity_key = 'order:1155' ORDER BY l.delivery_id LIMIT 501""",
+        "entity_view": f"""WITH {_LEDGER},
+            own AS (SELECT *, row_number() OVER (ORDER BY broker_offset) - 1 AS n, count(*) OVER () AS many
+                    FROM ledger WHERE entity_key = 'order:1155'),
+            latest AS (SELECT source_version, event_id FROM own WHERE disposition IN ('accepted', 'stale')
+                       ORDER BY source_version DESC LIMIT 1)
+            SELECT CAST(n // 2 + 1 AS INTEGER) AS page, CAST(n % 2 + 1 AS INTEGER) AS place, disposition,
+                   CASE WHEN disposition <> 'rejected' THEN own.source_version END AS envelope_version,
+                   (n // 2 + 1) * 2 < many AS more, latest.source_version AS current_version, latest.event_id AS current_event_id
+            FROM own, latest""",
+        "events_after": f"""WITH {_LEDGER},
+            thirds AS (SELECT *, broker_offset * 3 // (1 + max(broker_offset) OVER (PARTITION BY partition_id)) AS part FROM
+                       (SELECT l.*, d.order_key AS k, d.broker_offset AS o FROM ledger l JOIN deliveries d USING (partition_id, broker_offset))),
+            numbered AS (SELECT *, row_number() OVER (ORDER BY part, partition_id, broker_offset) - 1 AS n, count(*) OVER () AS many
+                         FROM thirds WHERE event_type = 'update')
+            SELECT CAST(n // 500 + 1 AS INTEGER) AS page, CAST(count(*) AS INTEGER) AS deliveries,
+                   CAST(sum(k) AS BIGINT) AS sum_of_keys, any_value((n // 500 + 1) * 500 < many) AS more
+            FROM numbered WHERE n < 2000 GROUP BY n // 500""",
+        "set_difference": f"""WITH {_JOURNAL},
+            valid AS (SELECT *, {_EVENT_ID} AS event_id FROM journal WHERE {_IS_VALID})
+            SELECT event_id, CAST(1 AS BIGINT) AS in_left,
+                   CAST(CASE WHEN order_key % 97 = 0 THEN 0 ELSE 2 END AS BIGINT) AS in_right
+            FROM valid WHERE order_key % 97 = 0 OR order_key % 89 = 0""",
+        "order_faults": f"""WITH {_JOURNAL},
+            planted AS (SELECT source_updated_at AS ts, order_key AS was,
+                   CASE WHEN order_key % 101 = 0 THEN order_key - 3 WHEN order_key % 103 = 0 THEN order_key - 1
+                        WHEN order_key % 997 = 0 THEN -order_key ELSE order_key END AS k FROM journal),
+            pairs AS (SELECT ts, k, lag(ts) OVER (ORDER BY ts, was) AS pat, lag(k) OVER (ORDER BY ts, was) AS pk FROM planted),
+            high AS (SELECT ts, was FROM planted ORDER BY ts DESC, was DESC LIMIT 1),
+            unsafe AS (SELECT ts, k FROM pairs WHERE k <= 0 OR (ts = pat AND k = pk) ORDER BY ts, k LIMIT 1)
+            SELECT count(*) FILTER (WHERE pat IS NOT NULL AND (p.ts, p.k) < (pat, pk)) AS disordered,
+                   count(*) FILTER (WHERE (p.ts, p.k) = (pat, pk)) AS repeated,
+                   count(*) FILTER (WHERE p.k <= 0) AS invalid,
+                   count(*) FILTER (WHERE (p.ts, p.k) <= ({T0}, 5) OR (p.ts, p.k) > (high.ts, high.was)) AS outside,
+                   (SELECT {_iso('ts')} FROM unsafe) AS unsafe_at, (SELECT k FROM unsafe) AS unsafe_key
+            FROM pairs p, high""",
+        "contract_rules": f"""WITH {_JOURNAL},
+            said(slot, reason_code, loc, rule) AS (VALUES {", ".join(f"({i}, {_sql(reason)}, {_sql(loc)}, {_sql(rule)})" for i, (_, _, reason, loc, rule) in enumerate(CHANGES))})
+            SELECT reason_code, loc, rule, count(*) AS deliveries
+            FROM journal JOIN said ON slot = order_key % {len(CHANGES)} WHERE source_version = 1 AND {_IS_VALID}
+            GROUP BY reason_code, loc, rule""",
+        "state_snapshot": f"""WITH {_JOURNAL},
+            valid AS (SELECT count(*) AS n, count(DISTINCT order_key) AS entities FROM journal WHERE {_IS_VALID}),
+            held AS (SELECT count(*) - any_value(n) AS q FROM journal, valid),
+            measures(measure, a, b) AS (
+              SELECT 'entities', entities, entities FROM valid UNION ALL SELECT 'deliveries', n, 2 * n FROM valid
+              UNION ALL SELECT 'logical events', n, n FROM valid UNION ALL SELECT 'rejections', 0, 0
+              UNION ALL SELECT 'quarantine', q, q FROM held)
+            SELECT measure, CAST(a AS VARCHAR) AS before, CAST(b AS VARCHAR) AS after, true AS holds FROM measures""",
         "watermarks": f"""WITH {_PAGES},
             batches AS (
               SELECT 'shop.' || order_status AS source, {_STATUS_BATCH_ID} AS batch_id, max(number) AS last_number,

@@ -152,7 +152,7 @@ class Pipeline:
     def ledger(self, after_id: int = 0) -> DataFrame:
         """All deliveries; only batches with ids after ``after_id`` are read."""
         batches = [row for row in self._batches() if row.next_id > after_id + 1]
-        return self._of_batches("ledger", batches).select(*schemas.names(schemas.LEDGER))
+        return self._ledger_of(batches)
 
     def processed_events(self) -> DataFrame:
         return views.processed_events(self.ledger())
@@ -170,6 +170,37 @@ class Pipeline:
             return views.orders_current(self.ledger())
         return self.sink.read("current").drop("bucket")
 
+    def events_page(self, limit: int = 100, after_id: int = 0, **filters: object) -> inspect.Page:
+        """``inspect.events_page`` over the stored batches.
+
+        Ids ascend from batch to batch, and every batch knows its span: the search begins at the batch after ``after_id``
+        and takes in twice as many batches each time, until the page is full.
+        """
+        inspect.check_arguments(limit=limit, after_id=after_id, **{k: v for k, v in filters.items() if k != "source_prefix"})
+        batches = self._batches()
+        later = [row for row in batches if row.next_id > after_id + 1]
+        everything, many, rows = self._ledger_of(batches), 1, []
+        while later and len(rows) <= limit:
+            rows += inspect.event_rows(self._ledger_of(later[:many]), limit + 1 - len(rows), everything, after_id=after_id, **filters)
+            later, many = later[many:], many * 2
+        return inspect.paged(rows, limit)
+
+    def entity_view(self, key: str, source: str, after_id: int = 0, limit: int = 100) -> inspect.EntityView:
+        """Current row and a page of the deliveries of one entity; only its bucket of the current state is read."""
+        inspect.check_arguments(entity_key=key, source=source, after_id=after_id, limit=limit)
+        current = inspect.current_row(self.current_of(key, source))
+        page = self.events_page(limit, after_id, entity_key=key, source=source)
+        if current is None and not page.items and inspect.of_entity(self.ledger(), key, source).select("delivery_id").isEmpty():
+            raise inspect.EntityNotFound(key)
+        return inspect.EntityView(current, page.items, page.next_after_id)
+
+    def current_of(self, key: str, source: str) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(F.lit(source), F.lit(key)), F.lit(self.buckets)).cast("int")
+        return inspect.of_entity(self.sink.read("current").filter(F.col("bucket") == bucket), key, source)
+
+    def _ledger_of(self, batches: list[Row]) -> DataFrame:
+        return self._of_batches("ledger", batches).select(*schemas.names(schemas.LEDGER))
+
     def compact(self) -> bool:
         """Write the ledger and the registry of all batches as one, so that there are fewer files; False if nothing was to do.
 

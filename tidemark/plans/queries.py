@@ -8,15 +8,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions.expressions import content_hash, date_text, money, utc_timestamp
 from tidemark.functions.validation import validate
 from tidemark.operators import capture as cap
 from tidemark.operators import checks, inspect, views, writers
 from tidemark.operators.classify import classify
+from tidemark.operators.numbering import stage_sorted
 from tidemark.plans import fixture
 from tidemark.plans.fixture import RUN, SOURCE, T0, processed_at
 from tidemark.plans.pipeline import Pipeline
@@ -165,9 +167,7 @@ def cursor_multiplicity(spark: SparkSession, sf: str) -> DataFrame:
     """How often each cursor occurs; here two appends used the same stamp, which capture must refuse."""
     rows = fixture.journal(spark, sf)
     again = rows.filter("order_key % 50 = 0 and source_version = 1")
-    counts = (
-        rows.unionByName(again).groupBy(*cap.CURSOR).agg(F.count(F.lit(1)).alias("multiplicity"))
-    )
+    counts = cap.cursor_multiplicity(rows.unionByName(again))
     return counts.groupBy("multiplicity").agg(F.count(F.lit(1)).alias("cursors"))
 
 
@@ -412,7 +412,7 @@ def orders_current(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def event_rejections(spark: SparkSession, sf: str) -> DataFrame:
-    return views.rejections(fixture.ledger(spark, sf)).select("delivery_id", "reason_code")
+    return views.rejections(fixture.ledger(spark, sf)).select("delivery_id", "topic", "source", "reason_code")
 
 
 @query
@@ -447,8 +447,10 @@ def processing_delay(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _page_text(rows: DataFrame) -> DataFrame:
-    return rows.select(
+def _page_text(spark: SparkSession, rows: list[Row]) -> DataFrame:
+    types = {column.split()[0]: column for column in schemas.columns(schemas.LEDGER)}
+    shown = spark.createDataFrame(rows, ", ".join(types[name] for name in inspect.PAGE_COLUMNS))
+    return shown.select(
         "delivery_id", "event_id", "source", "entity_key", "event_type",
         utc_timestamp(F.col("occurred_at")).alias("occurred_at"),
         utc_timestamp(F.col("captured_at")).alias("captured_at"),
@@ -466,7 +468,7 @@ def events_page(spark: SparkSession, sf: str) -> DataFrame:
         fixture.ledger(spark, sf), inspect.MAX_LIMIT + 1, source=SOURCE, event_type="insert",
         since=T0, until=T0 + timedelta(microseconds=1), after_id=inspect.MAX_LIMIT,
     )
-    return _page_text(rows)
+    return _page_text(spark, rows)
 
 
 @query
@@ -475,7 +477,47 @@ def entity_history(spark: SparkSession, sf: str) -> DataFrame:
     rows = inspect.event_rows(
         fixture.ledger(spark, sf), inspect.MAX_LIMIT + 1, entity_key="order:1155", source=SOURCE
     )
-    return _page_text(rows)
+    return _page_text(spark, rows)
+
+
+def _thirds(spark: SparkSession, sf: str) -> Pipeline:
+    """The topic in three batches of ascending offsets."""
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
+    pipeline.deliver(fixture.wire(spark, sf))
+    ends = F.broadcast(topic.topic_offsets(pipeline.wire()).select("topic", "partition", F.col("high").alias("_high")))
+    for part in range(3):
+        third = F.floor(F.col("offset") * 3 / F.col("_high")) == part
+        pipeline.materialize(pipeline.wire().join(ends, ["topic", "partition"]).filter(third).drop("_high"), f"part-{part}")
+    return pipeline
+
+
+@query
+def entity_view(spark: SparkSession, sf: str) -> DataFrame:
+    """One entity as stored in three batches: its current row, and its deliveries in pages of two with where the next begins."""
+    pipeline, rows, page, after = _thirds(spark, sf), [], 0, 0
+    while after is not None:
+        view = pipeline.entity_view("order:1155", SOURCE, after_id=after, limit=2)
+        page += 1
+        after = view.next_after_id
+        for place, row in enumerate(view.history, 1):
+            version = None if row["envelope"] is None else row["envelope"]["source_version"]
+            rows.append((page, place, row["disposition"], version, after is not None, view.current["source_version"], view.current["last_event_id"]))
+    return spark.createDataFrame(
+        rows, "page int, place int, disposition string, envelope_version bigint, more boolean, current_version bigint, current_event_id string"
+    )
+
+
+@query
+def events_after(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of 500 updates over three batches, as the search for the next id finds them: (page, rows, first and last place)."""
+    pipeline, rows, page, after = _thirds(spark, sf), [], 0, 0
+    while after is not None and page < 4:
+        found = pipeline.events_page(500, after, event_type="update", source_prefix="shop.")
+        page += 1
+        after = found.next_after_id
+        keys = [int(row["entity_key"].split(":")[1]) for row in found.items]
+        rows.append((page, len(keys), sum(keys), after is not None))
+    return spark.createDataFrame(rows, "page int, deliveries int, sum_of_keys bigint, more boolean")
 
 
 def _sync_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -645,6 +687,44 @@ def ledger_losses(spark: SparkSession, sf: str) -> DataFrame:
     return checks.ledger_losses(before, after)
 
 
+@query
+def set_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Captured events against processed ones, of which some were lost and some are there twice."""
+    rows = fixture.journal(spark, sf).withColumn("batch_sequence", F.lit(1))
+    events = cap.valid_events(cap.build_events(rows, SOURCE, RUN, fixture.CAPTURED)).select("envelope.event_id", "order_key")
+    kept = events.filter("order_key % 97 <> 0")
+    sink = kept.unionAll(kept.filter("order_key % 89 = 0"))
+    return checks.set_difference(events, sink, "event_id")
+
+
+@query
+def order_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """Every captured row against the one before it, after some keys were changed behind the sort's back."""
+    rows = fixture.journal(spark, sf)
+    staged = stage_sorted(rows, cap.CURSOR, f"{scratch_folder(spark)}/staged")
+    k = F.col("order_key")
+    planted = F.when(k % 101 == 0, k - 3).when(k % 103 == 0, k - 1).when(k % 997 == 0, -k).otherwise(k)
+    high = cap.high_watermark(rows)
+    faults = cap.order_faults(staged.withColumn("order_key", planted), cap.Cursor.of(T0, 5), high)
+    return faults.withColumn("unsafe_at", utc_timestamp(F.col("unsafe_at")))
+
+
+@query
+def contract_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """One bad message per order, each breaking one rule of the contract: what validation says, and how often."""
+    return fixture.rule_outcomes(spark, sf)
+
+
+@query
+def state_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The measures of a synced and materialized pipeline, before and after a replay of its topic."""
+    pipeline = Pipeline(spark, scratch_folder(spark), clock=_sink_clock)
+    pipeline.sync(fixture.journal(spark, sf), SOURCE)
+    pipeline.materialize(pipeline.wire(), "all")
+    proof = pipeline.replay("once").filter(~F.col("measure").startswith("checkpoint") & (F.col("measure") != "state"))
+    return proof.select("measure", "before", "after", "holds")
+
+
 @query
 def state_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return checks.state_fingerprint(views.orders_current(fixture.ledger(spark, sf)))
