@@ -240,9 +240,10 @@ def valid_events(built: DataFrame) -> DataFrame:
     return built.filter(F.size("errors") == 0)
 
 
-def quarantine(built: DataFrame, created_at: datetime) -> DataFrame:
-    """Rows that cannot become events, with the full raw record and the reason."""
+def quarantine(built: DataFrame, created_at: datetime, *kept: str) -> DataFrame:
+    """Rows that cannot become events, with the full raw record and the reason; ``kept`` columns stay."""
     return built.filter(F.size("errors") > 0).select(
+        *kept,
         "batch_id",
         "source",
         "source_updated_at",
@@ -262,10 +263,11 @@ def new_quarantine(candidates: DataFrame, existing: DataFrame, source: str, afte
     return candidates.join(near.select("source", *CURSOR), ["source", *CURSOR], "left_anti")
 
 
-def batch_rows(built: DataFrame, run_id: str, after: Cursor | None, first_page: int = 1) -> DataFrame:
-    """One row per page: cursor range and counts. ``from`` is the end of the page before; ``after`` that of the first."""
+def batch_rows(built: DataFrame, run_id: str, after: Cursor | None, *kept: str) -> DataFrame:
+    """One row per page: cursor range and counts. ``from`` is the end of the page before; ``after`` that of the first.
+    ``kept`` columns, the same in all rows of a page, stay."""
     cursor = F.struct(*CURSOR)
-    pages = built.groupBy("source", "batch_id", "batch_sequence").agg(
+    pages = built.groupBy("source", "batch_id", "batch_sequence", *kept).agg(
         F.max(cursor).alias("_to"),
         F.count(F.lit(1)).alias("records_seen"),
         F.count_if(F.size("errors") == 0).alias("records_published"),
@@ -278,8 +280,9 @@ def batch_rows(built: DataFrame, run_id: str, after: Cursor | None, first_page:
     )
     start_at = F.lit(None).cast("timestamp") if after is None else at_literal(after.source_updated_at)
     start_key = F.lit(None if after is None else after.order_key).cast("bigint")
-    first = F.col("batch_sequence") == first_page
+    first = F.col("batch_sequence") == 1
     return pages.join(previous, ["source", "batch_sequence"], "left").select(
+        *kept,
         "batch_id",
         F.lit(run_id).alias("run_id"),
         "source",
@@ -293,17 +296,19 @@ def batch_rows(built: DataFrame, run_id: str, after: Cursor | None, first_page:
     )
 
 
-def entity_versions(rows: DataFrame) -> DataFrame:
+def entity_versions(rows: DataFrame, *kept: str) -> DataFrame:
     """Last version per entity on the capture side; a lower version never replaces a higher one.
 
     ``rows`` has source, entity_key, source_version and source_updated_at (events, or earlier results, or a
-    union of both). The event id follows from the other columns, so it is computed for the winners only.
+    union of both). The event id follows from the other columns, so it is computed for the winners only. With ``kept``
+    columns there is one version for each of their values.
     """
     last = F.max(F.struct("source_version", "source_updated_at")).alias("_last")
     return (
-        rows.groupBy("source", "entity_key")
+        rows.groupBy("source", "entity_key", *kept)
         .agg(last)
         .select(
+            *kept,
             "source",
             "entity_key",
             F.col("_last.source_version").alias("source_version"),

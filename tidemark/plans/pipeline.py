@@ -410,56 +410,97 @@ class Pipeline:
         last_page = seen // batch_size if unsafe is not None else -(-seen // batch_size)
         step = commit_pages or max(1, -(-last_page // GROUPS))
         started = self.clock()
-        checked = cap.check_rows(pages, source, run_id)
+        first_page = (F.floor((F.col("batch_sequence") - 1) / step) * step + 1).cast("bigint")
+        checked = cap.check_rows(pages, source, run_id).filter(F.col("batch_sequence") <= last_page)
+        checked = checked.withColumns({"first_page": first_page, "run_id": F.lit(run_id)})
+        groups = self._prepare(checked, source, run_id, after, high, started)
         event = cap.envelope(source, run_id, started)
-        low = after
-        for first in range(1, last_page + 1, step):
-            numbers = ((first - 1) * batch_size + 1, min(first + step - 1, last_page) * batch_size)
-            chunks = [row.chunk for row in ends if row.high >= numbers[0] and row.low <= numbers[1]]
-            group = checked.filter(F.col("chunk").isin(chunks) & F.col("number").between(*numbers))
-            low = self._commit_group(group, event, source, run_id, first, low, started, publish, partition)
+        shifts = None
+        if publish is None and groups:
+            shifts = self._prepare_messages(cap.valid_events(checked), event, run_id, started, partition)
+        for group in groups:
+            self._copy_pages(run_id, group.first_page, started)
+            if shifts is not None:
+                self._publish_prepared(run_id, group.first_page, shifts)
+            elif publish is not None:
+                numbers = ((group.first_page - 1) * batch_size + 1, min(group.first_page + step - 1, last_page) * batch_size)
+                chunks = [row.chunk for row in ends if row.high >= numbers[0] and row.low <= numbers[1]]
+                own = checked.filter(F.col("chunk").isin(chunks) & F.col("number").between(*numbers))
+                publish(cap.valid_events(own).withColumn("envelope", event))
+            self._checkpoint(run_id, source, group)
         if unsafe is not None:
             raise cap.CaptureError("the journal holds a repeated or invalid cursor; checkpoint retained")
         if max((cap.utc(row.at), row.key) for row in ends) != tuple(high):
             raise cap.CaptureError("journal gap: the high watermark was not reached")
         return seen
 
-    def _commit_group(
-        self,
-        checked: DataFrame,
-        event: Column,
-        source: str,
-        run_id: str,
-        first_page: int,
-        after: cap.Cursor | None,
-        started: datetime,
-        publish: Callable[[DataFrame], None] | None,
-        partition: Column | None,
-    ) -> cap.Cursor:
-        """Publish one group of pages and commit it; returns its last cursor."""
-        group = {"run_id": F.lit(run_id), "first_page": F.lit(first_page).cast("bigint")}
-        rows = cap.batch_rows(checked, run_id, after, first_page)
-        self.capture.replace("pages", rows.withColumns({**group, "started_at": cap.at_literal(started)}))
-        # The pages as written: the end of the group is that of its last page.
-        written = self.capture.read("pages").filter((F.col("run_id") == run_id) & (F.col("first_page") == first_page))
+    def _plan(self, run_id: str) -> Store:
+        """What a run works out once for all its groups: pages, and messages without their place on the topic."""
+        tables = {
+            "pages": self.capture.tables["pages"],
+            "messages": Table(schemas.WIRE.replace("offset bigint", "place bigint"), "first_page bigint"),
+        }
+        return Store(self.spark, f"{self.root}/stage/{run_id}-plan", tables)
+
+    def _prepare(
+        self, checked: DataFrame, source: str, run_id: str, after: cap.Cursor | None, high: cap.Cursor, started: datetime
+    ) -> list[Row]:
+        """Write the pages, the quarantine and the entity versions of all groups; a group's rows count from its checkpoint on.
+
+        Returns the groups in order with their last cursor and page.
+        """
+        plan = self._plan(run_id)
+        rows = cap.batch_rows(checked, run_id, after, "first_page").withColumn("started_at", cap.at_literal(started))
+        plan.replace("pages", rows)
+        refused = cap.new_quarantine(
+            cap.quarantine(checked, started, "run_id", "first_page"), self.quarantine(), source, after, high
+        )
+        self.capture.replace("quarantine", refused)
+        keyed = cap.valid_events(checked).withColumn("entity_key", entity_key(F.col("order_key")))
+        versions = cap.entity_versions(keyed, "first_page").withColumn("run_id", F.lit(run_id))
+        self.capture.replace("entity_versions", versions)
         end = F.max_by(F.struct("to_updated_at", "to_order_key", "batch_id"), "batch_sequence").alias("e")
-        at, key, batch_id = written.agg(end).select(F.unix_micros("e.to_updated_at"), "e.to_order_key", "e.batch_id").first()
-        until = cap.Cursor(cap.utc(at), key)
-        valid = cap.valid_events(checked)
-        if publish is None:
-            self.publish(valid, event, started, partition)
-        else:
-            publish(valid.withColumn("envelope", event))
-        refused = cap.new_quarantine(cap.quarantine(checked, started), self.quarantine(), source, after, until)
-        self.capture.replace("quarantine", refused.withColumns(group))
-        versions = cap.entity_versions(valid.withColumn("entity_key", entity_key(F.col("order_key"))))
-        self.capture.replace("entity_versions", versions.withColumns(group))
+        found = plan.read("pages").groupBy("first_page").agg(end).select(
+            "first_page", F.unix_micros("e.to_updated_at").alias("at"), F.col("e.to_order_key").alias("key"), "e.batch_id"
+        )
+        return sorted(found.collect(), key=lambda row: row.first_page)
+
+    def _copy_pages(self, run_id: str, first_page: int, started: datetime) -> None:
+        """The pages of a group that begins."""
+        self.capture.replace("pages", self._plan(run_id).read("pages").filter(F.col("first_page") == first_page))
+
+    def _checkpoint(self, run_id: str, source: str, group: Row) -> None:
+        """The one row that makes a group count."""
         number = max((row.number for row in self._rows(self.capture, "checkpoints")), default=0) + 1
         self.capture.replace_row(
-            "checkpoints", run_id=run_id, first_page=first_page, number=number, source=source, updated_at=cap.at_literal(until.source_updated_at),
-            order_key=key, batch_id=batch_id, finished_at=cap.at_literal(self.clock()),
+            "checkpoints", run_id=run_id, first_page=group.first_page, number=number, source=source, updated_at=cap.at_literal(cap.utc(group.at)),
+            order_key=group.key, batch_id=group.batch_id, finished_at=cap.at_literal(self.clock()),
         )
-        return until
+
+    def _prepare_messages(self, valid: DataFrame, event: Column, run_id: str, at: datetime, partition: Column | None) -> dict[int, list[Row]]:
+        """Write the messages of all groups, numbered within the run; returns for each group where its numbers begin."""
+        key = key_bytes(entity_key(F.col("order_key")))
+        where = topic.partition_by_key(key) if partition is None else partition
+        columns = [*cap.JOURNAL_COLUMNS, "batch_sequence", "number", "chunk", "first_page"]
+        placed = topic.assign_offsets(valid.select(*columns).withColumn("partition", where)).withColumnRenamed("offset", "place")
+        sent = topic.messages(placed.withColumns({"envelope": event, "timestamp": cap.at_literal(at)}))
+        plan = self._plan(run_id)
+        plan.replace("messages", sent.withColumn("partition", F.col("partition").cast("int")))
+        begins = plan.read("messages").groupBy("first_page", "partition").agg(F.min("place").alias("place")).collect()
+        found: dict[int, list[Row]] = {}
+        for row in begins:  # one row for each group and partition
+            found.setdefault(row.first_page, []).append(row)
+        return found
+
+    def _publish_prepared(self, run_id: str, first_page: int, begins: dict[int, list[Row]]) -> None:
+        """Append the messages of a group to the topic, after what is there now."""
+        number, ends = self._topic_ends()
+        high = {(e.topic, e.partition): e.next for e in ends}
+        shift = F.lit(0).cast("bigint")
+        for row in begins.get(first_page, []):
+            shift = F.when(F.col("partition") == row.partition, F.lit(high.get((topic.TOPIC, row.partition), 0) - row.place)).otherwise(shift)
+        rows = self._plan(run_id).read("messages").filter(F.col("first_page") == first_page)
+        self._append(rows.withColumn("offset", F.col("place") + shift), number, ends)
 
     # --- topic ---------------------------------------------------------------------------------------------
     def wire(self) -> DataFrame:
@@ -484,17 +525,6 @@ class Pipeline:
         found = later.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).collect()
         return number, _merged(ends, found)
 
-    def publish(self, rows: DataFrame, event: Column, at: datetime, partition: Column | None = None) -> None:
-        """Append captured rows to the topic table; ``event`` makes the envelope of a row."""
-        key = key_bytes(entity_key(F.col("order_key")))
-        where = topic.partition_by_key(key) if partition is None else partition
-        columns = [*cap.JOURNAL_COLUMNS, "batch_sequence", "number", "chunk"]
-        number, ends = self._topic_ends()
-        base = self.spark.createDataFrame([(e.topic, e.partition, e.next) for e in ends], "topic string, partition int, high bigint")
-        placed = topic.assign_offsets(rows.select(*columns).withColumn("partition", where), base_offsets=base)
-        sent = topic.messages(placed.withColumns({"envelope": event, "timestamp": cap.at_literal(at)}))
-        self._append(topic.as_wire(sent), number, ends)
-
     def deliver(self, wire: DataFrame) -> None:
         """Append messages that have their offsets already."""
         self._append(wire, *self._topic_ends())
