@@ -16,6 +16,7 @@ their places.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -222,20 +223,37 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     ]
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter by which byte-level vocabularies write a byte: itself where it is printable, else the next one from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
 class LibraryEncoder:
-    """Ids by the tokenizers library; it is asked once for each repeated match, and for whole texts of rare characters."""
+    """Ids by the tokenizers library with its defaults. Its model is asked once for each repeated match; the whole library
+    for texts with rare characters or with the name of a special token, which it then takes for that token."""
 
     def __init__(self, spec: str, pattern: str):
         self.library = tokenizers.Tokenizer.from_str(spec)
-        self.library.encode_special_tokens = True  # their names in a text are ordinary text
-        self.words = Words(self.whole)
+        self.model = self.library.model
+        names = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        self.named = re.compile("|".join(map(re.escape, names))) if names else None
+        self.words = Words(self.match)
         self.split = Splitter(pattern)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def match(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        return np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
+
     def packed(self, text: str) -> bytes:
-        if PLAIN_TEXT.search(text):
+        if PLAIN_TEXT.search(text) or (self.named and self.named.search(text)):
             return self.whole(text)
         return b"".join(map(self.words.__getitem__, self.split(text)))
 
@@ -290,7 +308,7 @@ def pack_documents(
     """Pack all documents into as few sequences of at most ``capacity`` ids as the method finds.
 
     Returns, for each piece, the id column, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and
-    ``offset``. A null text is empty and gives one piece, the end id alone. Each repeated row is packed again; null ids
+    ``offset``. The name of a special token in a text is that token, as the library has it. A null text is empty and gives one piece, the end id alone. Each repeated row is packed again; null ids
     are kept; an empty table gives no piece. Other columns are not read.
     """
     spark = documents.sparkSession
