@@ -83,6 +83,38 @@ def test_op4_recursion_and_blocks_find_the_same_links():
     assert joined(10_000) == joined(8) == joined(64)
 
 
+def test_spans_hash_by_their_bytes_alone():
+    """Equal spans have equal hashes wherever they stand; the Thue-Morse word and its complement differ, under both bases."""
+    from tidemark.llm.common import P61, BASES, SpanHash, mixed
+
+    bits = np.array([bin(i).count("1") % 2 for i in range(2048)], np.uint8)
+    data = np.concatenate([bits + 97, 98 - bits, bits + 97, np.frombuffer(b"tail", np.uint8)])
+    for which in (0, 1):
+        spans = SpanHash(data, which)
+        a, b, c = spans.of(np.array([0, 2048, 4096]), np.array([2048, 4096, 6144]))
+        assert a == c != b
+        base = BASES[which] % P61
+        exact = sum((int(x) + 1) * pow(base, i, P61) for i, x in enumerate(data[2048:4096])) % P61
+        assert b == mixed(np.array([exact], np.uint64))[0]
+        fixed = spans.fixed(50)
+        assert (fixed == spans.of(np.arange(len(data) - 49), np.arange(50, len(data) + 1))).all()
+        words = {data[i : i + 50].tobytes() for i in range(len(data) - 49)}
+        assert len(np.unique(fixed)) == len(words)
+        assert len(SpanHash(data[:10], which).fixed(11)) == 0
+    long = np.random.default_rng(1).integers(0, 256, 3_000_000).astype(np.uint8)
+    long[2_900_000:] = long[:100_000]
+    spans = SpanHash(long)
+    assert spans.of(np.array([0]), np.array([100_000]))[0] == spans.of(np.array([2_900_000]), np.array([3_000_000]))[0]
+
+
+def test_op4_words_of_one_pattern_are_not_linked(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, word.upper()), (4, f"{word} {other} x"), (5, f"{other} {word} x")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=90).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
 def test_op8_links_and_recall(spark):
     chosen = np.random.default_rng(5)
     base = chosen.normal(size=(300, 32))

@@ -119,40 +119,93 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+# --- arithmetic modulo the prime 2^61 - 1 -------------------------------------------------------------------------
 
+P61 = (1 << 61) - 1
+_U = np.uint64
+_LOW31 = _U((1 << 31) - 1)
+_LOW30 = _U((1 << 30) - 1)
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get(base)
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit numbers modulo 2^61 - 1."""
+    x = (x & _U(P61)) + (x >> _U(61))
+    return np.where(x >= _U(P61), x - _U(P61), x)
+
+
+def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of numbers below it, without 128-bit arithmetic."""
+    a1, a0, b1, b0 = a >> _U(31), a & _LOW31, b >> _U(31), b & _LOW31
+    middle = a0 * b1 + a1 * b0
+    return reduced((a1 * b1 << _U(1)) + (middle >> _U(30)) + ((middle & _LOW30) << _U(31)) + a0 * b0)
+
+
+def addmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return reduced(a + b)
+
+
+def submod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return reduced(a + (_U(P61) - b))
+
+
+def times31(x: np.ndarray) -> np.ndarray:
+    """Numbers below 2^61 - 1 times 2^31."""
+    return ((x & _LOW30) << _U(31)) + (x >> _U(30))
+
+
+def doubled(base: int, least: int) -> np.ndarray:
+    """The powers of ``base`` from 0 on, at least so many."""
+    table, step = np.ones(1, _U), base % P61
+    while len(table) < least:
+        table, step = np.concatenate([table, mulmod(table, np.full(len(table), step, _U))]), step * step % P61
+    return table
+
+
+_POWERS: dict[int, tuple[np.ndarray, ...]] = {}
+
+
+def _powers(which: int, n: int) -> tuple[np.ndarray, ...]:
+    """Halves of the powers of a base, and the powers of its inverse."""
+    have = _POWERS.get(which)
     if have is None or len(have[0]) < n:
-        size = max(1 << 16, 1 << (n - 1).bit_length())
-        up = np.full(size, base, np.uint64)
-        down = np.full(size, pow(base, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        have = _POWERS[base] = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
+        base, size = BASES[which] % P61, max(1 << 16, n)
+        up = doubled(base, size)
+        have = _POWERS[which] = (up & _LOW31, up >> _U(31), doubled(pow(base, -1, P61), size))
     return have
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
+def _prefix_sums(terms: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
+    """0 and the running sums modulo 2^61 - 1 of terms below 2^41."""
+    out, carry = np.zeros(len(terms) + 1, _U), _U(0)
+    for i in range(0, len(terms), piece):
+        part = reduced(np.cumsum(terms[i : i + piece], dtype=_U) + carry)
+        out[i + 1 : i + 1 + len(part)] = part
+        carry = part[-1]
+    return out
 
 
 class SpanHash:
-    """Hashes of any byte spans of one buffer from prefix sums: equal bytes have equal hashes, wherever they stand."""
+    """Hashes of any byte spans of one buffer from prefix sums: equal bytes have equal hashes, wherever they stand.
+
+    Polynomials modulo a prime: unlike those modulo 2^64, no pattern of two words collides whatever the base.
+    """
 
     def __init__(self, data: np.ndarray, which: int = 0):
-        self.up, self.down = _powers(BASES[which], len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * self.up[: len(data)], dtype=np.uint64, out=self.sums[1:])
+        low, high, self.down = _powers(which, len(data) + 1)
+        value = data.astype(_U) + _U(1)
+        self.low, self.high = _prefix_sums(value * low[: len(data)]), _prefix_sums(value * high[: len(data)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[end] - self.sums[start]) * self.down[start])
+        total = reduced(times31(submod(self.high[end], self.high[start])) + submod(self.low[end], self.low[start]))
+        return mixed(mulmod(total, self.down[start]))
 
     def fixed(self, length: int) -> np.ndarray:
         """Of all spans of this length, by start."""
-        n = len(self.sums) - length
+        n = len(self.low) - length
         if n <= 0:
             return np.zeros(0, np.uint64)
-        return mixed((self.sums[length:] - self.sums[:n]) * self.down[:n])
+        total = reduced(times31(submod(self.high[length:], self.high[:n])) + submod(self.low[length:], self.low[:n]))
+        return mixed(mulmod(total, self.down[:n]))
 
 
 def signed(x: np.ndarray) -> np.ndarray:

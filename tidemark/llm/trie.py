@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialized, mixed, runs_of, ship
+from tidemark.llm.common import P61 as P
+from tidemark.llm.common import addmod, doubled, materialized, mixed, mulmod, reduced, runs_of, ship, submod, times31
 
 FAMILY, HEADS = 5, 9  # conversations that take their beginning from one; beginnings have fewer turns than HEADS
-P = (1 << 61) - 1
 BASES = (0x0F1BBCDC5A1B2C3D % P, 0x1A2B3C4D5E6F7081 % P)
 SALT = 65_536  # turns of a conversation that meet their conversation's row on one key
 REACH = 32  # turns below a node that count in its weight, for each member
@@ -38,28 +38,6 @@ NODE = ["depth", "a1", "a2"]
 _U = np.uint64
 
 
-def mulmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Products modulo 2^61 - 1 of numbers below it, without 128-bit arithmetic."""
-    low = _U((1 << 31) - 1)
-    a1, a0, b1, b0 = a >> _U(31), a & low, b >> _U(31), b & low
-    middle = a0 * b1 + a1 * b0
-    total = (a1 * b1 << _U(1)) + (middle >> _U(30)) + ((middle & _U((1 << 30) - 1)) << _U(31)) + a0 * b0
-    return _reduced(total)
-
-
-def _reduced(x: np.ndarray) -> np.ndarray:
-    x = (x & _U(P)) + (x >> _U(61))
-    return np.where(x >= _U(P), x - _U(P), x)
-
-
-def addmod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _reduced(a + b)
-
-
-def submod(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return _reduced(a + (_U(P) - b))
-
-
 _TABLES: dict[int, np.ndarray] = {}
 
 
@@ -67,10 +45,7 @@ def powers(base: int, exponents: np.ndarray) -> np.ndarray:
     """``base`` to non-negative exponents: a table for the low 16 bits, and one power for each distinct high part."""
     table = _TABLES.get(base)
     if table is None:
-        table, step = np.ones(1, _U), base
-        while len(table) < 1 << 16:
-            table, step = np.concatenate([table, mulmod(table, np.full(len(table), step, _U))]), step * step % P
-        _TABLES[base] = table
+        table = _TABLES[base] = doubled(base, 1 << 16)
     low, high = exponents & 0xFFFF, exponents >> 16
     out = table[low]
     if high.any():
@@ -82,7 +57,7 @@ def powers(base: int, exponents: np.ndarray) -> np.ndarray:
 def _running(x: np.ndarray) -> np.ndarray:
     """Prefix sums modulo P; halves are summed apart, so that nothing overflows."""
     low, high = x & _U((1 << 31) - 1), x >> _U(31)
-    return addmod(mulmod(_reduced(np.cumsum(high)), np.full(len(x), 1 << 31, _U)), _reduced(np.cumsum(low)))
+    return addmod(reduced(times31(reduced(np.cumsum(high)))), reduced(np.cumsum(low)))
 
 
 class Scan:
