@@ -137,6 +137,14 @@ def test_op8_links_and_recall(spark):
     assert embeddings.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_op8_very_large_and_very_small_numbers(spark):
+    rows = [(1, [1e-200, 0.0]), (2, [1e200, 1e200]), (3, [1.0, 1.0]), (4, [5e-324, 5e-324]), (5, [1.0, 0.0]), (6, [-1e308, 1e308]), (7, [0.0, 0.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {1: (1, 1), 5: (1, 1), 2: (2, 2), 3: (2, 2), 4: (2, 2), 6: (0, 6), 7: (0, 7)}
+    normal = np.random.default_rng(1).normal(size=(50, 8))
+    assert (embeddings.unit(normal) == normal / np.linalg.norm(normal, axis=1, keepdims=True)).all()
+
+
 def test_op8_large_buckets_and_families_in_blocks(spark):
     chosen = np.random.default_rng(6)
     hub = chosen.normal(size=16)

@@ -57,6 +57,13 @@ def learn(sample: np.ndarray, rounds: int = ROUNDS, seed: int = 7) -> tuple[np.n
     return mean, basis @ rotation
 
 
+def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1. Scaled by a power of two first, so that squares of very large or small numbers stay finite."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0.0))
+    vectors = np.ldexp(vectors, -exponent)
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
 def partners(sample: np.ndarray, least: float, within: bool) -> np.ndarray:
     """For each vector one at a cosine of ``least``, in any direction or in the direction of another sample vector."""
     chosen = np.random.default_rng(11)
@@ -160,7 +167,7 @@ def _tables(shared):
             if not batch.num_rows:
                 continue
             vectors = _matrix(batch.column("vector"))
-            vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            vectors = unit(vectors)
             codes = [codes_of(vectors, mean, p) for p in projections]
             sketch = np.ascontiguousarray(np.stack(codes[:sketches], axis=1))
             sketch = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * sketches), len(sketch), [None, pa.py_buffer(sketch)]).cast(pa.binary())
@@ -211,7 +218,7 @@ def _linked(least: float):
             tile, second = rows.column("tile").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
             ids = rows.column("id").to_numpy()
             vectors = _matrix(rows.column("vector"))
-            vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            vectors = unit(vectors)
             begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
             left, right = [], []
             for a, b in zip(begins, np.r_[begins[1:], len(tile)]):
@@ -239,7 +246,7 @@ def _count(least: float):
             tile, second = rows.column("tile").to_numpy(), rows.column("second").to_numpy(zero_copy_only=False)
             ids, copies = rows.column("id").to_numpy(), rows.column("copies").to_numpy()
             vectors = _matrix(rows.column("vector"))
-            vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+            vectors = unit(vectors)
             links = np.zeros(len(ids), np.int64)
             begins = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1]])
             for a, b in zip(begins, np.r_[begins[1:], len(tile)]):
@@ -315,7 +322,7 @@ def _links(single: DataFrame, least: float, sample: int, block: int) -> DataFram
     spark = single.sparkSession
     some = single.orderBy(F.xxhash64("rep")).limit(sample).select("vector").toArrow()  # a bounded sample
     vectors = _matrix(some.column("vector"))
-    vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors = unit(vectors)
     n = single.count()
     plan = Plan(vectors, least, n)
     rows = single.select(F.col("rep").alias("id"), "vector")
