@@ -31,7 +31,7 @@ FAMILY, HEADS = 5, 9  # conversations that take their beginning from one; beginn
 BASES = (0x0F1BBCDC5A1B2C3D % P, 0x1A2B3C4D5E6F7081 % P)
 SALT = 65_536  # turns of a conversation that meet their conversation's row on one key
 REACH = 32  # turns below a node that count in its weight, for each member
-LEAST_HEAVY = 4_096
+LEAST_HEAVY = 512
 MOST_HEAVY = 1_000_000  # heavy nodes; the bound of what is broadcast
 NODE = ["depth", "a1", "a2"]
 
