@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, packing, pii, suffixes, toxicity
-from tidemark.llm.common import table
+from tidemark.llm.common import materialized, table
 from tidemark.session import configure, ensure_checkpoint_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -35,14 +35,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows that share an id, or have none, are grouped each for itself; a row with an id stays rather than one without.
     """
     key = F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull()).alias("key")
-    groups = jaccard.jaccard_groups(docs.select(key, "text"), id_column="key", size=5, percent=80).select("key", "component_id").distinct()
+    groups = materialized(jaccard.jaccard_groups(docs.select(key, "text"), id_column="key", size=5, percent=80).select("key", "component_id").distinct())
     # Only rows of components of two or more are looked at again.
     linked = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component_id")
     ids = docs.select(key, "doc_id").distinct()
     members = groups.join(linked, "component_id").join(ids, "key").select("component_id", "key", "doc_id")
     first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("stays"))
     gone = members.join(first, "component_id").filter("key <> stays").select("key")
-    return docs.select(*COLUMNS, key).join(gone, "key", "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    # Both steps are dealt by the key, so texts travel once.
+    return docs.select(*COLUMNS, key).join(gone, "key", "left_anti").dropDuplicates(["key", "doc_id", "text"]).select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
