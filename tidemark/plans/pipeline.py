@@ -419,7 +419,7 @@ class Pipeline:
         if publish is None and groups:
             shifts = self._prepare_messages(cap.valid_events(checked), event, run_id, started, partition)
         for group in groups:
-            self._copy_pages(run_id, group.first_page, started)
+            self._copy_pages(run_id, group.first_page)
             if shifts is not None:
                 self._publish_prepared(run_id, group.first_page, shifts)
             elif publish is not None:
@@ -465,7 +465,7 @@ class Pipeline:
         )
         return sorted(found.collect(), key=lambda row: row.first_page)
 
-    def _copy_pages(self, run_id: str, first_page: int, started: datetime) -> None:
+    def _copy_pages(self, run_id: str, first_page: int) -> None:
         """The pages of a group that begins."""
         self.capture.replace("pages", self._plan(run_id).read("pages").filter(F.col("first_page") == first_page))
 
