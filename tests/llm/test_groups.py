@@ -224,7 +224,7 @@ def test_op9_repeats(spark, length, width, large):
     more = [(100 + i, "".join(chosen.choice("abc ") for _ in range(50)) + shared[chosen.randrange(60) :] + chosen.choice(["", "tail", shared[:45]])) for i in range(40)]
     every = frame.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id long, text string"))
     bodies = suffixes._bodies(every, "doc_id", "text")
-    spans = suffixes.repeated_spans(bodies, length, width, large).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = suffixes.repeated_spans(bodies.drop("own"), length, width, large).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     schema = "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     got = bodies.join(spans, ["id", "check"], "left").select("id", "body", "spans").mapInArrow(suffixes._cut, schema).collect()
     texts = rows + more
@@ -243,7 +243,27 @@ def test_op9_texts_without_id_of_equal_hash(spark):
     left = [same[0][250:], same[1], ""]
     assert Counter(r["text"] for r in suffixes.without_repeats(frame).collect()) == Counter(left)
     got = suffixes.remove_repeats(frame).collect()
-    assert Counter((r["doc_id"], r["kept"].decode()) for r in got) == Counter(zip([-1, -1, 1], left))
+    assert Counter((r["doc_id"], r["kept"].decode()) for r in got) == Counter(zip([None, None, 1], left))
+
+
+def test_op9_an_absent_id_is_not_minus_one(spark):
+    frame = spark.createDataFrame([(None, "x" * 300), (-1, "y" * 250 + "z"), (None, "short")], "doc_id long, text string")
+    got = suffixes.remove_repeats(frame).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in got) == Counter([(None, 300, b""), (-1, 251, b"z"), (None, 5, b"short")])
+
+
+def test_op9_query(spark, sf):
+    import hashlib
+
+    import __spark_entry__
+
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in __spark_entry__.queries()["op9_suffix_array_dedup"](spark, sf).collect()}
+    assert len(got) == len(rows)
+    for row, (kept, gone) in zip(rows, h.without_repeats([r["text"] for r in rows], 200)):
+        found = got[row["doc_id"]]
+        assert (found["n_bytes"], found["n_removed"]) == (len((row["text"] or "").encode()), gone)
+        assert found["kept_sha256"] == hashlib.sha256(kept).hexdigest() and (found["n_spans"] > 0) == (gone > 0)
 
 
 def test_op9_empty_table_and_whole_characters(spark):

@@ -361,9 +361,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bodies(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, check, body): a null id is -1 here; ``check`` tells rows of one id with different texts apart."""
-    body = whole_text(text_column)
-    return documents.select(F.coalesce(F.col(id_column).cast("long"), F.lit(-1)).alias("id"), F.xxhash64(body).alias("check"), body.alias("body"))
+    """(own, id, check, body): ``own`` is the id and ``id`` has -1 for null; ``check`` tells rows of one id with different
+    texts apart."""
+    body, own = whole_text(text_column), F.col(id_column).cast("long")
+    return documents.select(own.alias("own"), F.coalesce(own, F.lit(-1)).alias("id"), F.xxhash64(body).alias("check"), body.alias("body"))
 
 
 def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH) -> DataFrame:
@@ -371,11 +372,11 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
 
     ``removed`` lists the maximal removed byte ranges and ``kept`` has the remaining bytes. A null text is empty; a
     text of fewer bytes than a window is never changed; an exact copy is removed as a whole if it is long enough. Rows
-    with a null id are kept and have id -1 in the result. Other columns are not read.
+    with a null id are kept, without an id. Other columns are not read.
     """
     bodies = _bodies(documents, id_column, text_column)
-    spans = repeated_spans(bodies, length).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    cut = bodies.join(spans, ["id", "check"], "left").select("id", "body", "spans")
+    spans = repeated_spans(bodies.drop("own"), length).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    cut = bodies.join(spans, ["id", "check"], "left").select(F.col("own").alias("id"), "body", "spans")
     schema = "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     return cut.mapInArrow(_cut, schema).withColumnRenamed("id", id_column)
 
