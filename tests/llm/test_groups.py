@@ -115,6 +115,16 @@ def test_op4_words_of_one_pattern_are_not_linked(spark):
     assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
 
 
+def test_op4_words_made_to_collide_are_not_linked(spark):
+    # These two words had one hash while the base was a known number.
+    word, other = "z~w||~~{~}|~yvy{", "~~~~~}z~|~~v~~~~"
+    rows = [(1, word), (2, other), (3, word), (4, f"x {word} y {other} y x {other} y {word} y"), (5, f"x {other} y"), (6, f"x {word} y")]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), size=3, percent=90).collect()}
+    roots, sizes = h.groups(rows, 3, 90)
+    assert got == {doc: (n, root) for (doc, _), n, root in zip(rows, sizes, roots)}
+    assert roots == [1, 2, 1, 4, 5, 6]
+
+
 def test_op8_links_and_recall(spark):
     chosen = np.random.default_rng(5)
     base = chosen.normal(size=(300, 32))
