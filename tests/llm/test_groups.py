@@ -262,6 +262,21 @@ def test_op9_an_absent_id_is_not_minus_one(spark):
     assert Counter((r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in got) == Counter([(None, 300, b""), (-1, 251, b"z"), (None, 5, b"short")])
 
 
+def test_op9_texts_are_shuffled_once(spark):
+    texts = [" ".join(f"w{i * j}" for j in range(200)) for i in range(40)] + ["shared passage " * 40] * 3
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        done = suffixes.remove_repeats(frame)
+        assert len(done.collect()) == len(texts)
+        plan = done._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set(key, before)
+    assert sum("ReusedExchange [id#" in line and "body#" in line for line in plan.splitlines()) == 1, plan
+
+
 def test_op9_query(spark, sf):
     import hashlib
 

@@ -361,10 +361,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bodies(documents: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(own, id, check, body): ``own`` is the id and ``id`` has -1 for null; ``check`` tells rows of one id with different
-    texts apart."""
+    """(id, check, body): ``id`` has -1 for null; ``check`` tells rows of one id with different texts apart, and is odd
+    where there is no id."""
     body, own = whole_text(text_column), F.col(id_column).cast("long")
-    return documents.select(own.alias("own"), F.coalesce(own, F.lit(-1)).alias("id"), F.xxhash64(body).alias("check"), body.alias("body"))
+    check = F.xxhash64(body).bitwiseAND(F.lit(-2)).bitwiseOR(own.isNull().cast("long"))
+    return documents.select(F.coalesce(own, F.lit(-1)).alias("id"), check.alias("check"), body.alias("body"))
 
 
 def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH) -> DataFrame:
@@ -375,8 +376,10 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
     with a null id are kept, without an id. Other columns are not read.
     """
     bodies = _bodies(documents, id_column, text_column)
-    spans = repeated_spans(bodies.drop("own"), length).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    cut = bodies.join(spans, ["id", "check"], "left").select(F.col("own").alias("id"), "body", "spans")
+    spans = repeated_spans(bodies, length).groupBy("id", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    # The same columns by the same keys as in ``repeated_spans``: Spark writes the texts to one shuffle and reads it twice.
+    own = F.when(F.col("check").bitwiseAND(F.lit(1)) == 0, F.col("id"))
+    cut = bodies.join(spans, ["id", "check"], "left").select(own.alias("id"), "body", "spans")
     schema = "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     return cut.mapInArrow(_cut, schema).withColumnRenamed("id", id_column)
 
