@@ -99,6 +99,26 @@ def test_op13_one_conversation_holds_most_rows(spark, monkeypatch):
     assert built(frame(spark, rows), least_heavy=500) == model(rows)
 
 
+def test_op13_turns_are_digested_once(spark, tmp_path, monkeypatch):
+    import uuid
+
+    plain, folder = trie.digested, str(tmp_path)
+
+    def noted(batches):
+        open(f"{folder}/{uuid.uuid4().hex}", "w").close()
+        yield from batches
+
+    def counted(conversations):
+        turns = plain(conversations)
+        return turns.mapInArrow(noted, turns.schema)
+
+    frame = spark.createDataFrame([(c, t, "user", f"text {c % 3} {t}", "", "", "") for c in range(20) for t in range(4)], DDL)
+    parts = plain(frame).rdd.getNumPartitions()
+    monkeypatch.setattr(trie, "digested", counted)
+    assert trie.prefix_trie(frame).count() > 1
+    assert len(list(tmp_path.iterdir())) == parts
+
+
 def test_op13_repeated_patterns_have_different_digests():
     """The Thue-Morse word and its complement collide under any base modulo 2^64; here they must not."""
     bits = np.array([bin(i).count("1") % 2 for i in range(4096)])

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import P61 as P
 from tidemark.llm.common import addmod, doubled, materialized, mixed, mulmod, reduced, runs_of, ship, submod, times31
+from tidemark.sources.store import stored
 
 FAMILY, HEADS = 5, 9  # conversations that take their beginning from one; beginnings have fewer turns than HEADS
 BASES = (0x0F1BBCDC5A1B2C3D % P, 0x1A2B3C4D5E6F7081 % P)
@@ -364,9 +365,11 @@ def prefix_trie(conversations: DataFrame, family: int = FAMILY, heads: int = HEA
     empty. Rows without conv_id belong to no conversation. An empty table has no node, not even a root. Other columns
     are not read.
     """
-    prefixes = materialized(rebuilt(digested(conversations), family, heads))
+    # Stored rather than checkpointed: a checkpoint works its rows out twice, and keeps a task for each shuffle partition.
+    # Digests are read three times below.
+    prefixes = stored(rebuilt(stored(digested(conversations)), family, heads))
     below = F.least(F.col("total") - F.col("depth") + 1, F.lit(REACH))
-    nodes = materialized(
+    nodes = stored(
         prefixes.groupBy(*NODE).agg(
             F.min("u1").alias("u1"), F.min("u2").alias("u2"), F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"),
             F.max("n_bytes").alias("n_bytes"), F.max("total").alias("total"), F.sum(below).alias("weight"),
@@ -392,7 +395,7 @@ def prefix_trie(conversations: DataFrame, family: int = FAMILY, heads: int = HEA
     shared = nodes.filter(~is_heavy & (F.col("n_convs") > 1)).select(*columns)
     light = shared.unionByName(single.filter("depth = z").select(*columns)).join(roots, "conv_id")
     dealt = light.repartition("r1", "r2", "r0").sortWithinPartitions("r1", "r2", "r0", "depth")
-    done = materialized(_tables(dealt.select(*_IN, "r1"), "r1"))
+    done = stored(_tables(dealt.select(*_IN, "r1"), "r1"))
 
     outer = F.col("parent_conv_id").isNull()
     from_below = done.filter(outer).groupBy(
