@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard, packing, pii, suffixes, toxicity
 from tidemark.llm.common import materialized, table
-from tidemark.session import configure, ensure_checkpoint_dir
+from tidemark.session import batches_of, configure, ensure_checkpoint_dir
 
+# Rows of texts, sets and contexts hold kilobytes: 10,000 of them in one batch are held by the JVM and by Python, per task.
+BATCH = "4m"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -81,9 +83,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for number, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{number}-{name}")
-            docs = spark.read.parquet(f"{folder}/{number}-{name}")
+    with batches_of(spark, BATCH):
+        for number, (name, stage) in enumerate(STAGES):
+            docs = stage(spark, docs, sf_dir)
+            if number < len(STAGES) - 1:
+                docs.write.parquet(f"{folder}/{number}-{name}")
+                docs = spark.read.parquet(f"{folder}/{number}-{name}")
     return docs

@@ -6,6 +6,7 @@ import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ sys.path.insert(0, os.path.dirname(__file__))
 import helpers as h  # noqa: E402
 
 from tidemark.llm import embeddings, jaccard, suffixes, toxicity  # noqa: E402
+from tidemark.llm.common import freeing  # noqa: E402
 from tidemark.llm.components import components  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
@@ -400,3 +402,38 @@ def test_pipeline_stages_take_effect(spark, folder):
     assert all(r["n_chars"] == len(r["text"]) for r in seen["pii"])
     packed = corpus_pipeline.run(spark, folder)
     assert packed.count() == len(seen["best_fit_packing"])
+
+
+def test_pipeline_batches_are_small_and_the_session_keeps_its_limit(spark, folder, monkeypatch):
+    def longest(spark, docs, sf_dir):
+        def held(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+        return spark.createDataFrame([(docs.select("text").mapInArrow(held, "n long").agg({"n": "max"}).first()[0],)], "n long")
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    rows.write.parquet(f"{folder}/documents.parquet")
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("longest", longest)])
+    assert corpus_pipeline.run(spark, folder).first()["n"] < 5 << 20
+    assert spark.conf.get(name) == before
+
+
+def test_freeing_gives_back_memory_after_the_last_batch(monkeypatch):
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append("released")
+
+    def run(batches):
+        for batch in batches:
+            calls.append("batch")
+            yield batch
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    batches = [pa.RecordBatch.from_arrays([pa.array([i])], names=["n"]) for i in range(2)]
+    assert list(freeing(run)(iter(batches))) == batches
+    assert calls == ["batch", "batch", "released"]

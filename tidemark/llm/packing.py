@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import PLAIN_TEXT, Splitter, Words
-from tidemark.llm.common import materialized, ship, whole_text
+from tidemark.llm.common import freeing, materialized, ship, whole_text
 from tidemark.operators.numbering import number_in_chunks
 
 CAPACITY = 1024
@@ -293,7 +293,7 @@ def pieces(documents: DataFrame, tokenizer_path: str, pattern: str, id_column: s
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["id", "piece", "start", "length", "ids_crc32"])
 
     narrow = documents.select(F.col(id_column).cast("long").alias("id"), whole_text(text_column).alias("body"))
-    return narrow.mapInArrow(run, "id long, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(freeing(run), "id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack_documents(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SpanHash, mixed, ship, signed, slices, text_buffer, whole_text
+from tidemark.llm.common import SpanHash, freeing, mixed, ship, signed, slices, text_buffer, whole_text
 
 LENGTH = 200
 WIDTH = 101  # starts of windows among which a minimiser is chosen
@@ -314,17 +314,17 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, width: int = WIDT
     """Repeated windows of a table (id, check, body), as rows (id, check, start, end) of bytes that may overlap."""
     spark = documents.sparkSession
     ship(spark)
-    tuples = documents.mapInArrow(_pick(length, width), _TUPLE_SCHEMA)
-    met = tuples.repartition("name").sortWithinPartitions("name", "reach").mapInArrow(_first_of, _TUPLE_SCHEMA)
+    tuples = documents.mapInArrow(freeing(_pick(length, width)), _TUPLE_SCHEMA)
+    met = tuples.repartition("name").sortWithinPartitions("name", "reach").mapInArrow(freeing(_first_of), _TUPLE_SCHEMA)
     here = F.struct("name", "place", "most", "least")
     asked = met.filter(F.col("kind") == TUPLE).groupBy("id", "check").agg(F.collect_list(here).alias("tuples"))
     around = documents.join(asked, ["id", "check"]).select("id", "check", "body", "tuples").mapInArrow(
-        _contexts(length, width), "name long, right binary, left binary, id long, check long, place int, most short, least short"
+        freeing(_contexts(length, width)), "name long, right binary, left binary, id long, check long, place int, most short, least short"
     )
     sorted_by_suffix = around.repartition("name").sortWithinPartitions("name", "right")
-    found = sorted_by_suffix.mapInArrow(_induce(length, width, large), _TUPLE_SCHEMA)
+    found = sorted_by_suffix.mapInArrow(freeing(_induce(length, width, large)), _TUPLE_SCHEMA)
     windows = found.filter(F.col("kind") == WINDOW).repartition("name").sortWithinPartitions("name", "reach")
-    hot = windows.mapInArrow(_first_of, _TUPLE_SCHEMA)
+    hot = windows.mapInArrow(freeing(_first_of), _TUPLE_SCHEMA)
     marks = met.unionByName(found).unionByName(hot).filter(F.col("kind") == MARK)
     begin = F.col("place") - F.col("most")
     return marks.select("id", "check", begin.alias("start"), (F.col("place") - F.col("least") + F.lit(length)).alias("end"))
@@ -381,7 +381,7 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
     own = F.when(F.col("check").bitwiseAND(F.lit(1)) == 0, F.col("id"))
     cut = bodies.join(spans, ["id", "check"], "left").select(own.alias("id"), "body", "spans")
     schema = "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
-    return cut.mapInArrow(_cut, schema).withColumnRenamed("id", id_column)
+    return cut.mapInArrow(freeing(_cut), schema).withColumnRenamed("id", id_column)
 
 
 def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -419,5 +419,5 @@ def without_repeats(documents: DataFrame, id_column: str = "doc_id", text_column
     cut = keyed.join(spans, ["id", "check"], "left").select("own", "body", "spans")
     # The text itself need not travel twice.
     cut = cut.withColumn("own", F.col("own").dropFields(text_column))
-    kept = cut.select("own", "body", "spans").mapInArrow(_rewritten, cut.select("own", "body").schema)
+    kept = cut.select("own", "body", "spans").mapInArrow(freeing(_rewritten), cut.select("own", "body").schema)
     return kept.select(*(F.col("body").alias(c) if c == text_column else F.col(f"own.`{c}`") for c in documents.columns))

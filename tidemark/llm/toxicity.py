@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from tidemark.llm.common import materialized, ship, whole_text
+from tidemark.llm.common import freeing, materialized, ship, whole_text
 
 PER_CLASS = 4000
 LEXICON = 65_536
@@ -166,7 +166,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_column: str, text_column: st
     # At most 2 * per_class ids.
     sample = documents.select(F.col(id_column).alias("id"), whole_text(text_column).alias("body")).join(F.broadcast(chosen), "id")
     sample = materialized(sample.select("body", "toxic").distinct())  # copies teach nothing more
-    sums = sample.mapInArrow(_count, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sums = sample.mapInArrow(freeing(_count), "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     sums = sums.filter(F.col("toxic") + F.col("clean") >= 5)
     totals = sums.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic"), F.coalesce(F.sum("clean"), F.lit(0)).alias("clean")).first()
     n1, n0 = totals["toxic"], totals["clean"]
@@ -213,7 +213,7 @@ def calibrate(model: Model, sample: DataFrame) -> Model:
             types = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["toxic", "n", "best", "value", "count"])
 
-    rows = sample.mapInArrow(scan, "toxic int, n long, best array<double>, value double, count long").collect()
+    rows = sample.mapInArrow(freeing(scan), "toxic int, n long, best array<double>, value double, count long").collect()
     histogram: Counter = Counter()
     for r in rows:
         if r["value"] is not None:
@@ -293,7 +293,7 @@ def apply(model: Model, documents: DataFrame, text_column: str = "text", passage
                 found.append([{"start": a, "end": b, "score": s, "expected": e} for a, b, s in segments if (e := rule.expected(len(words), s)) <= SIGNIFICANT] if passages else None)
             yield pa.RecordBatch.from_arrays([batch.column("rows"), batch.column("body"), pa.array(scores, pa.float64()), pa.array(found, shape)], ["rows", "body", "toxicity", "passages"])
 
-    scored = packed.mapInArrow(run, schema)
+    scored = packed.mapInArrow(freeing(run), schema)
     columns = [F.col("body").alias(c) if c == text_column else F.col(f"rows.`{c}`") for c in documents.columns]
     return scored.select(*columns, "toxicity", *(["passages"] * passages))
 
