@@ -1,5 +1,6 @@
 """Deliveries as they are stored: without what follows from the rest, and all of it back when read."""
 
+import hashlib
 import json
 from datetime import timedelta
 
@@ -63,3 +64,37 @@ def test_own_spelling_is_stored_once(spark, folder):
     # Other texts stay as they came.
     rows = slim(validate(receive(s.wire(spark, odd_messages())).rows))
     assert {r[0] for r in rows.filter("raw_message is null").select("delivery_id").collect()} == {1, 2, 8, 9, 10, 11, 12, 13, 14, 15}
+
+
+def test_stored_rows_are_shuffled_once_at_most(spark, folder, monkeypatch):
+    """The current state takes one shuffle, copies of stored rows take none, and no shuffle files stay."""
+    pipeline = Pipeline(spark, folder)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own, seen, write = spark.conf.get(name), [], pipeline.sink.replace
+
+    def noted(table, rows):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        seen.append((table, plan.count("Exchange hashpartitioning") + plan.count("Exchange REBALANCE"), spark.conf.get(name)))
+        write(table, rows)
+
+    monkeypatch.setattr(pipeline.sink, "replace", noted)
+    messages = [s.deliver(s.envelope(k, v)) for k in range(1, 9) for v in (1, 2)]
+    pipeline.materialize(s.wire(spark, messages), "one")
+    pipeline.materialize(s.wire(spark, [s.deliver(s.envelope(3, 3))], start=100), "two")
+    pipeline.compact()
+    assert seen[:3] == [("ledger", 1, "true"), ("registry", 0, "true"), ("current", 1, "true")]
+    assert seen[-3:-1] == [("ledger", 0, "true"), ("registry", 0, "true")]
+    assert spark.conf.get(name) == own
+    current = {r["entity_key"]: (r["source_version"], r["last_event_id"]) for r in pipeline.orders_current().collect()}
+    assert current == {f"order:{k}": (v, s.event_id(s.SOURCE, f"order:{k}", v)) for k in range(1, 9) for v in [3 if k == 3 else 2]}
+
+
+def test_lanes_are_sums_of_sixteen_bits(spark):
+    from tidemark.operators import checks, views
+
+    ledger = classify(s.wire(spark, [s.deliver(s.envelope(k)) for k in range(1, 20)]), s.T0)
+    current = views.orders_current(ledger)
+    row = checks._row_json({name: F.col(name) for name in current.columns})
+    digests = [r[0] for r in current.select(F.sha2(row, 256)).collect()]
+    sums = [19, *(sum(int(d[4 * i : 4 * i + 4], 16) for d in digests) for i in range(16))]
+    assert checks.state_fingerprint(current).first()["sha256"] == hashlib.sha256(",".join(map(str, sums)).encode()).hexdigest()
